@@ -8,7 +8,7 @@ from gridlens.operators import batch, quality
 from gridlens.operators.cleaning import spread_of
 from registry import views
 from registry.catalog import check
-from registry.sql import mean, pct, total, using
+from registry.sql import mean, pct, rnd, total, using
 from registry.views import CUSTOMER, ROLES
 
 
@@ -131,8 +131,8 @@ def _(spark, folder):
 
 
 @check("reconcile_totals", using("kpis", body=f"""
-SELECT tabla, round({total('IMPORTE')}, 2) AS importe, CAST(count(*) AS DOUBLE) AS registros,
-       round({total('IMPORTE')}, 2) AS importe_global, CAST(count(*) AS DOUBLE) AS registros_global, true AS cuadra
+SELECT tabla, {rnd(total('IMPORTE'), 2)} AS importe, CAST(count(*) AS DOUBLE) AS registros,
+       {rnd(total('IMPORTE'), 2)} AS importe_global, CAST(count(*) AS DOUBLE) AS registros_global, true AS cuadra
 FROM invoices, (SELECT unnest(['ranking', 'tendencia', 'tarifa_cartera']) AS tabla) GROUP BY tabla"""))
 def _(spark, folder):
     joined = settle(views.invoices(spark, folder), "joined")

@@ -7,7 +7,7 @@ from gridlens.functions.text import pad_geo_code
 from gridlens.operators import batch, cleaning, events, ordering, quality
 from registry import views
 from registry.catalog import check
-from registry.sql import pct, using
+from registry.sql import pct, rnd, using
 from registry.views import ROLES
 
 PARTS = "NRO_DOC_FAC, PERIODO, CONSUMO, IMPORTE, FECHA_EMISION, FECHA_VENCIMIENTO"
@@ -184,7 +184,7 @@ def _validity(spark, folder):
     return quality.validity_rate(fact, dim, raw.agg(F.count("*")).scalar())
 
 
-VALIDITY = """rate AS (
+VALIDITY = f"""rate AS (
   SELECT (SELECT count(*) FROM raw) AS total_filas_originales, count(*) AS total_fact_consumo,
          (SELECT count(*) FROM star_dim) AS total_dim_cliente,
          count(*) FILTER (WHERE CONSUMO IS NULL) AS nulos_consumo,
@@ -192,7 +192,7 @@ VALIDITY = """rate AS (
          count(*) FILTER (WHERE CONSUMO <= 0) AS consumo_cero_o_negativo,
          count(*) FILTER (WHERE IMPORTE <= 0) AS importe_cero_o_negativo,
          count(*) FILTER (WHERE NRO_DOC_FAC NOT IN (SELECT NRO_DOC_FAC FROM star_dim)) AS fact_sin_dim_asociada,
-         round(CAST(count(*) AS DOUBLE) / greatest((SELECT count(*) FROM raw), 1) * 100, 2) AS tasa_validez_pct
+         {rnd('CAST(count(*) AS DOUBLE) / greatest((SELECT count(*) FROM raw), 1) * 100', 2)} AS tasa_validez_pct
   FROM star_fact)"""
 
 

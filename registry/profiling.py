@@ -18,7 +18,7 @@ def _usable(spark, folder):
 
 def _describe(c):
     quantiles = ", ".join(
-        f"round(quantile_cont({c}, {p}), 6) AS {n}"
+        f"quantile_cont({c}, {p}) AS {n}"
         for p, n in (("0.01", "p1"), ("0.25", "p25"), ("0.5", "p50"), ("0.75", "p75"), ("0.99", "p99"))
     )
     far = f"count(*) FILTER (WHERE abs({c} - m) / s > 3)"
@@ -30,9 +30,7 @@ FROM {USABLE}, (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM {USABLE})"""
 @check("describe_numeric", using("readings", body=" UNION ALL ".join(_describe(c) for c in MEASURES)))
 def _(spark, folder):
     described = profiling.describe_numeric(_usable(spark, folder), MEASURES)
-    return described.withColumns({
-        "std": F.round("std", 4), **{c: F.round(c, 6) for c in profiling.PERCENTILES.values()}
-    })
+    return described.withColumn("std", F.round("std", 4))
 
 
 TEXT = """text_values AS (
@@ -92,26 +90,22 @@ def _(spark, folder):
 b AS (SELECT min(CONSUMO) AS lo, quantile_cont(CONSUMO, 0.99) AS hi FROM {USABLE}),
 counted AS (
   SELECT least(floor((least(CONSUMO, hi) - lo) / ((hi - lo) / 80)), 79) AS bin, count(*) AS n FROM {USABLE}, b GROUP BY 1)
-SELECT CAST(i AS INTEGER) AS bin, round(lo + i * ((hi - lo) / 80), 6) AS desde,
-       round(lo + (i + 1) * ((hi - lo) / 80), 6) AS hasta, coalesce(n, 0) AS cantidad
+SELECT CAST(i AS INTEGER) AS bin, lo + i * ((hi - lo) / 80) AS desde,
+       lo + (i + 1) * ((hi - lo) / 80) AS hasta, coalesce(n, 0) AS cantidad
 FROM range(80) AS r(i) LEFT JOIN counted ON counted.bin = i, b"""))
 def _(spark, folder):
-    bins = profiling.histogram_capped(_usable(spark, folder), "CONSUMO")
-    return bins.withColumns({c: F.round(c, 6) for c in ("desde", "hasta")})
+    return profiling.histogram_capped(_usable(spark, folder), "CONSUMO")
 
 
 def _box(c):
     low, high = "q1 - 1.5 * (q3 - q1)", "q3 + 1.5 * (q3 - q1)"
-    return f"""SELECT '{c}' AS columna, round(any_value(q1), 6) AS q1, round(any_value(q2), 6) AS mediana,
-  round(any_value(q3), 6) AS q3, round(any_value({low}), 6) AS limite_inferior,
-  round(any_value({high}), 6) AS limite_superior, min({c}) FILTER (WHERE {c} >= {low}) AS bigote_inferior,
+    return f"""SELECT '{c}' AS columna, any_value(q1) AS q1, any_value(q2) AS mediana,
+  any_value(q3) AS q3, any_value({low}) AS limite_inferior,
+  any_value({high}) AS limite_superior, min({c}) FILTER (WHERE {c} >= {low}) AS bigote_inferior,
   max({c}) FILTER (WHERE {c} <= {high}) AS bigote_superior, count(*) FILTER (WHERE {c} < {low} OR {c} > {high}) AS atipicos
 FROM {USABLE}, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM {USABLE})"""
 
 
 @check("box_stats", using("readings", body=" UNION ALL ".join(_box(c) for c in MEASURES)))
 def _(spark, folder):
-    box = profiling.box_stats(_usable(spark, folder), MEASURES)
-    return box.withColumns({
-        c: F.round(c, 6) for c in ("q1", "mediana", "q3", "limite_inferior", "limite_superior")
-    })
+    return profiling.box_stats(_usable(spark, folder), MEASURES)

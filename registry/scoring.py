@@ -12,7 +12,7 @@ from gridlens.sources.streams import as_kafka_records
 from gridlens.sources.tables import read_events_json
 from registry import views
 from registry.catalog import check
-from registry.sql import using
+from registry.sql import rnd, using
 from registry.views import CRITICAL, CUSTOMER, ROLES
 
 
@@ -176,7 +176,7 @@ def _(spark, folder):
     )
 
 
-REQUESTS = """requests AS (
+REQUESTS = f"""requests AS (
   SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_type = 'error' THEN lower(DISTRITO)
               WHEN event_type = 'click' THEN 'NOWHERE' ELSE DISTRITO END AS distrito,
          CASE WHEN event_type = 'view' THEN 'other' ELSE event_type END AS tarifa, CARTERA AS cartera,
@@ -192,9 +192,9 @@ found AS (
   FROM requests r LEFT JOIN by_group g ON upper(r.distrito) = g.d AND upper(tarifa) = t AND upper(cartera) = c
   LEFT JOIN by_district b ON upper(r.distrito) = b.d, overall o),
 answers AS (
-  SELECT id, distrito, tarifa, cartera, consumo_actual, round((consumo_actual - m) / s, 4) AS zscore,
-         round((consumo_actual - m) / CASE WHEN m = 0 THEN 1.0 ELSE m END * 100, 2) AS porcentaje_variacion,
-         round(m, 2) AS consumo_promedio, round(s, 2) AS desviacion_estandar FROM found)"""
+  SELECT id, distrito, tarifa, cartera, consumo_actual, {rnd('(consumo_actual - m) / s', 4)} AS zscore,
+         {rnd('(consumo_actual - m) / CASE WHEN m = 0 THEN 1.0 ELSE m END * 100', 2)} AS porcentaje_variacion,
+         {rnd('m', 2)} AS consumo_promedio, {rnd('s', 2)} AS desviacion_estandar FROM found)"""
 
 
 def _answers(spark, folder):
@@ -229,7 +229,7 @@ def _(spark, folder):
     return scoring.score_single_rules(_answers(spark, folder), CRITICAL)
 
 
-@check("assign_dimensions", using("stats", body="@@").replace("\n@@", """,
+@check("assign_dimensions", using("stats", body="@@").replace("\n@@", f""",
 slots AS (SELECT *, row_number() OVER (ORDER BY DISTRITO, TARIFA, CARTERA) - 1 AS slot FROM stats),
 drawn AS (
   SELECT CAST(event_id AS VARCHAR) AS nro_doc_fac, value AS consumo_actual, DISTRITO AS distrito, TARIFA AS tarifa,
@@ -239,8 +239,8 @@ drawn AS (
     ON slot = CAST(concat('0x', substr(md5(event_id || ':42'), 1, 8)) AS BIGINT) % (SELECT count(*) FROM stats))
 SELECT nro_doc_fac, consumo_actual, distrito, tarifa, cartera, consumo_promedio AS consumo_promedio_historico,
        importe_promedio AS importe_promedio_historico, round(consumo_std, 4) AS desviacion_consumo,
-       greatest(least(round((consumo_actual - m) / s, 4), 5.0), -5.0) AS zscore_consumo,
-       greatest(least(round((consumo_actual - m) / coalesce(nullif(m, 0), 1) * 100, 2), 500.0), -200.0)
+       greatest(least({rnd('(consumo_actual - m) / s', 4)}, 5.0), -5.0) AS zscore_consumo,
+       greatest(least({rnd('(consumo_actual - m) / coalesce(nullif(m, 0), 1) * 100', 2)}, 500.0), -200.0)
          AS porcentaje_variacion
 FROM drawn"""))
 def _(spark, folder):

@@ -6,7 +6,7 @@ from gridlens import settle
 from gridlens.operators import alerts, serving
 from registry import views
 from registry.catalog import check
-from registry.sql import mean, pct, total, using
+from registry.sql import mean, pct, rnd, total, using
 from registry.scoring import std4
 from registry.views import ROLES
 
@@ -27,8 +27,8 @@ def _(spark, folder):
 
 
 @check("region_hourly_accumulation", using("scored", body=f"""
-SELECT DISTRITO, CAST(hour(kafka_timestamp) AS INTEGER) AS hour, round({total('consumo_actual')}, 2) AS total_kwh,
-       count(*) AS total_records, round({mean('consumo_actual')}, 2) AS avg_consumption, count(*) AS anomaly_count
+SELECT DISTRITO, CAST(hour(kafka_timestamp) AS INTEGER) AS hour, {rnd(total('consumo_actual'), 2)} AS total_kwh,
+       count(*) AS total_records, {rnd(mean('consumo_actual'), 2)} AS avg_consumption, count(*) AS anomaly_count
 FROM scored GROUP BY 1, 2"""))
 def _(spark, folder):
     return serving.region_hourly_accumulation(views.classified(spark, folder))
@@ -36,7 +36,7 @@ def _(spark, folder):
 
 def summary_sql(by):
     return f"""summary_{by} AS (
-  SELECT {by}, count(id_anomalia) AS total_anomalias, round({mean('zscore_consumo')}, 4) AS promedio_zscore,
+  SELECT {by}, count(id_anomalia) AS total_anomalias, {rnd(mean('zscore_consumo'), 4)} AS promedio_zscore,
          max(zscore_consumo) AS max_zscore, {pct("count(*) FILTER (WHERE nivel_riesgo = 'Alto')", "count(*)")} AS riesgo_alto_pct,
          {pct("count(*) FILTER (WHERE nivel_riesgo = 'Bajo')", "count(*)")} AS riesgo_bajo_pct
   FROM fact WHERE {by} IS NOT NULL GROUP BY {by})"""
@@ -64,8 +64,8 @@ GENERAL = [
     ("total_distritos_afectados", "CAST(count(DISTINCT distrito) AS DOUBLE)"),
     ("total_tarifas_afectadas", "CAST(count(DISTINCT tarifa) AS DOUBLE)"),
     ("total_carteras_afectadas", "CAST(count(DISTINCT cartera) AS DOUBLE)"),
-    ("promedio_zscore_global", f"round({mean('zscore_consumo')}, 4)"),
-    ("max_zscore_global", "round(max(zscore_consumo), 4)"),
+    ("promedio_zscore_global", rnd(mean("zscore_consumo"), 4)),
+    ("max_zscore_global", rnd("max(zscore_consumo)", 4)),
     ("pct_anomalias_nivel_alto", pct("count(*) FILTER (WHERE nivel_riesgo = 'Alto')", "count(*)")),
     ("pct_flag_true", pct("count(*) FILTER (WHERE flag_anomalia)", "count(*)")),
     ("nulos_zscore", "CAST(count(*) FILTER (WHERE zscore_consumo IS NULL) AS DOUBLE)"),
@@ -213,8 +213,8 @@ def _(spark, folder):
 
 
 @check("alert_stats", using("alerts", body=f"""
-SELECT count(*) AS total, round({total('consumo_total_hora')}, 2) AS consumo_total_hora,
-       round({total('consumo_total_hora')} / count(*), 2) AS consumo_promedio_hora FROM alerts"""))
+SELECT count(*) AS total, {rnd(total('consumo_total_hora'), 2)} AS consumo_total_hora,
+       {rnd(total('consumo_total_hora') + ' / count(*)', 2)} AS consumo_promedio_hora FROM alerts"""))
 def _(spark, folder):
     return alerts.alert_totals(views.alerts(spark, folder))
 
@@ -225,7 +225,7 @@ def _(spark, folder):
 
 
 @check("alert_stats_by_department", using("alerts", body=f"""
-SELECT DEPARTAMENTO, count(*) AS total_alertas, round({total('consumo_total_hora')}, 2) AS consumo_total_hora,
+SELECT DEPARTAMENTO, count(*) AS total_alertas, {rnd(total('consumo_total_hora'), 2)} AS consumo_total_hora,
        count(DISTINCT DISTRITO) AS distritos_afectados FROM alerts GROUP BY 1"""))
 def _(spark, folder):
     return alerts.alerts_by_department(views.alerts(spark, folder))

@@ -11,8 +11,14 @@ def mean(x: str) -> str:
     return f"({total(x)} / COUNT({x}))"
 
 
+def rnd(x: str, digits: int) -> str:
+    """Half-up on the printed number, as Spark rounds; a plain ROUND works on the binary value."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
+
+
 def pct(part: str, whole: str, digits: int = 2) -> str:
-    return f"CASE WHEN {whole} > 0 THEN round(CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100, {digits}) ELSE 0.0 END"
+    share = rnd(f"CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100", digits)
+    return f"CASE WHEN {whole} > 0 THEN {share} ELSE 0.0 END"
 
 
 PLACES = """places AS (
@@ -75,14 +81,14 @@ STATS = f"""stats AS (
          max(CONSUMO) AS consumo_maximo, count(*) AS total_registros
   FROM readings GROUP BY DISTRITO, TARIFA, CARTERA)"""
 
-SCORED = """scored AS (
+SCORED = f"""scored AS (
   SELECT NRO_DOC_FAC, PERIODO, CONSUMO AS consumo_actual, IMPORTE AS importe_actual, DISTRITO, TARIFA, CARTERA,
          consumo_promedio AS consumo_promedio_historico, importe_promedio AS importe_promedio_historico,
          consumo_std AS desviacion_consumo,
-         CASE WHEN coalesce(consumo_std, 0) = 0 THEN 0.0 ELSE round((CONSUMO - consumo_promedio) / consumo_std, 4) END
+         CASE WHEN coalesce(consumo_std, 0) = 0 THEN 0.0 ELSE {rnd('(CONSUMO - consumo_promedio) / consumo_std', 4)} END
            AS zscore_consumo,
          CASE WHEN coalesce(consumo_promedio, 0) = 0 THEN 0.0
-              ELSE round((CONSUMO - consumo_promedio) / consumo_promedio * 100, 2) END AS porcentaje_variacion,
+              ELSE {rnd('(CONSUMO - consumo_promedio) / consumo_promedio * 100', 2)} END AS porcentaje_variacion,
          ts AS kafka_timestamp, DEPARTAMENTO
   FROM readings LEFT JOIN stats USING (DISTRITO, TARIFA, CARTERA))"""
 
@@ -108,21 +114,21 @@ FACT = """fact AS (
 ALERTS = f"""hourly AS (
   SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
          DEPARTAMENTO, DISTRITO, {total('CONSUMO')} AS s, count(*) AS total_eventos,
-         round({mean('CONSUMO')}, 2) AS consumo_promedio
+         {rnd(mean('CONSUMO'), 2)} AS consumo_promedio
   FROM readings GROUP BY ALL),
 alerts AS (
-  SELECT window_start, window_end, DEPARTAMENTO, DISTRITO, round(s, 2) AS consumo_total_hora, total_eventos,
+  SELECT window_start, window_end, DEPARTAMENTO, DISTRITO, {rnd('s', 2)} AS consumo_total_hora, total_eventos,
          consumo_promedio, TIMESTAMP '2025-01-01' AS fecha_generacion, 'CRITICO' AS nivel,
          'Alerta: consumo de ' || DISTRITO || ' (' || DEPARTAMENTO || ') supera 100 kWh/hora: '
-           || CAST(round(s, 2) AS VARCHAR) || ' kWh' AS mensaje
+           || CAST({rnd('s', 2)} AS VARCHAR) || ' kWh' AS mensaje
   FROM hourly WHERE s > 100)"""
 
-HEATMAP = """heat AS (
+HEATMAP = f"""heat AS (
   SELECT distrito, count(*) AS total_registros, count(*) FILTER (WHERE abs(zscore_consumo) > 3) AS anomalias_reales
   FROM fact WHERE distrito IS NOT NULL GROUP BY distrito),
 heatmap AS (
   SELECT distrito, total_registros, anomalias_reales,
-         round(CAST(anomalias_reales AS DOUBLE) / CAST(total_registros AS DOUBLE) * 100, 4) AS tasa_anomalia_pct,
+         {rnd('CAST(anomalias_reales AS DOUBLE) / CAST(total_registros AS DOUBLE) * 100', 4)} AS tasa_anomalia_pct,
          CASE WHEN CAST(anomalias_reales AS DOUBLE) / CAST(total_registros AS DOUBLE) * 100 > 0.05 THEN 'Alto'
               WHEN CAST(anomalias_reales AS DOUBLE) / CAST(total_registros AS DOUBLE) * 100 > 0.02 THEN 'Medio'
               ELSE 'Bajo' END AS riesgo
@@ -173,11 +179,11 @@ kpi_row AS (
          count(*) FILTER (WHERE sc > 0 AND si > 0 AND (abs(CONSUMO - mc) / sc > 3 OR abs(IMPORTE - mi) / si > 3)) AS outliers
   FROM invoices, kpi_spread),
 kpis AS (
-  SELECT 'facturacion_total_soles' AS indicador, round(importe, 2) AS valor FROM kpi_row
-  UNION ALL SELECT 'consumo_total_kwh', round(consumo, 2) FROM kpi_row
+  SELECT 'facturacion_total_soles' AS indicador, {rnd('importe', 2)} AS valor FROM kpi_row
+  UNION ALL SELECT 'consumo_total_kwh', {rnd('consumo', 2)} FROM kpi_row
   UNION ALL SELECT 'total_facturas', CAST(facturas AS DOUBLE) FROM kpi_row
-  UNION ALL SELECT 'ticket_promedio', round(ticket, 2) FROM kpi_row
-  UNION ALL SELECT 'consumo_promedio_global', round(medio, 2) FROM kpi_row
+  UNION ALL SELECT 'ticket_promedio', {rnd('ticket', 2)} FROM kpi_row
+  UNION ALL SELECT 'consumo_promedio_global', {rnd('medio', 2)} FROM kpi_row
   UNION ALL SELECT 'total_registros', CAST(registros AS DOUBLE) FROM kpi_row
   UNION ALL SELECT 'registros_outliers', CAST(outliers AS DOUBLE) FROM kpi_row
   UNION ALL SELECT 'tasa_outlier_pct', {pct('outliers', 'registros')} FROM kpi_row)"""

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+# Every character that counts as whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # A byte-order mark as seen in UTF-8 and when UTF-8 is read as Latin-1.
 BYTE_ORDER_MARKS = ("\ufeff", "ï»¿")
 
 
 def strip(value: Column) -> Column:
     """Remove every kind of whitespace at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(value, EDGE_WHITESPACE, "")
+    return F.btrim(value, F.lit(WHITESPACE))
 
 
 def strip_upper(value: Column) -> Column:

@@ -11,6 +11,7 @@ from gridlens.functions.rules import first_match, rfm_segment
 from gridlens.operators.cleaning import spread_of
 from gridlens.operators.ordering import exact_quantiles, quantile_row, sketched_quantiles
 from gridlens.roles import DEFAULT, Roles
+from gridlens.session import settle
 
 TERCILES = (1 / 3, 2 / 3)
 
@@ -153,9 +154,8 @@ def rfm_terciles(rfm: DataFrame, relative_error: float | None = None) -> DataFra
 def rfm_segments(rfm: DataFrame, terciles: DataFrame) -> DataFrame:
     """Scores 1 to 3 per measure (recent is good), their total and the segment."""
     columns = {"recency": "r", "frequency": "f", "monetary": "m"}
-    cuts = one_row(quantile_row(
-        terciles, {(c, p): f"{short}{i}" for c, short in columns.items() for i, p in enumerate(TERCILES, 1)}
-    ))
+    names = {(c, p): f"{short}{i}" for c, short in columns.items() for i, p in enumerate(TERCILES, 1)}
+    cuts = one_row(settle(quantile_row(terciles, names), "cuts"))
 
     def score(column: str, scores: tuple[int, int, int]) -> Column:
         low, high = (F.coalesce(cuts[f"{columns[column]}{i}"], F.lit(0.0)) for i in (1, 2))

@@ -17,8 +17,7 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def _number(name: str) -> Column:
-    number = F.col(name).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nullif(F.col(name).try_cast("double"), F.lit(float("nan")))
 
 
 def _whole_number(name: str, kind: str) -> Column:
@@ -71,8 +70,9 @@ def mark_outliers(df: DataFrame, roles: Roles = DEFAULT, threshold: float = 3.0,
 
 
 def _kept(df: DataFrame, roles: Roles) -> DataFrame:
-    typed = coerce_types(normalise_headers(df), roles)
-    return keep_positive(drop_null_measures(typed, roles), roles)
+    """Typed rows with positive measures. Null is not positive, so one filter covers both drops and each
+    measure is parsed once in it."""
+    return keep_positive(coerce_types(normalise_headers(df), roles), roles)
 
 
 def clean(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
@@ -85,7 +85,7 @@ def clean_counts(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
     typed = coerce_types(normalise_headers(df), roles).select(*roles.measures)
     complete = F.col(roles.consumption).isNotNull() & F.col(roles.amount).isNotNull()
     positive = (F.col(roles.consumption) > 0) & (F.col(roles.amount) > 0)
-    kept = keep_positive(drop_null_measures(typed, roles), roles)
+    kept = keep_positive(typed, roles)
     outlier = positive & _is_outlier(roles.measures, one_row(spread_of(kept, roles.measures)), 3.0)
     counts = typed.agg(
         F.count("*").alias("filas_iniciales"),

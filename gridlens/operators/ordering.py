@@ -100,9 +100,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     )
     low = F.max(F.when(F.col("_rank") == F.col("_low"), F.col("valor")))
     high = F.max(F.when(F.col("_rank") == F.col("_high"), F.col("valor")))
-    return found.groupBy("columna", "probabilidad").agg(
-        (low + (high - low) * F.max("_weight")).alias("valor")
-    )
+    weight = F.max("_weight")
+    # Interpolate from the nearer neighbour, as numpy does.
+    value = F.when(weight >= 0.5, high - (high - low) * (1 - weight)).otherwise(low + (high - low) * weight)
+    return found.groupBy("columna", "probabilidad").agg(value.alias("valor"))
 
 
 def sketched_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],

@@ -11,6 +11,7 @@ from gridlens.functions.text import is_blank, strip
 from gridlens.operators.cleaning import drop_null_measures, keep_positive
 from gridlens.operators.ordering import exact_quantiles, quantile_row
 from gridlens.roles import DEFAULT, Roles
+from gridlens.session import settle
 
 PERCENTILES = {0.01: "p1", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.99: "p99"}
 QUARTILES = {0.25: "q1", 0.5: "mediana", 0.75: "q3"}
@@ -25,7 +26,7 @@ def usable_measures(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
 
 def _one_quantile_row(df: DataFrame, columns: Sequence[str], chances: dict[float, str]) -> Column:
     names = {(c, p): f"{c}_{name}" for c in columns for p, name in chances.items()}
-    return one_row(quantile_row(exact_quantiles(df, columns, list(chances)), names))
+    return one_row(settle(quantile_row(exact_quantiles(df, columns, list(chances)), names), "quantiles"))
 
 
 def _by_column(columns: Sequence[str], aggregates: dict[str, dict[str, Column]], df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from gridlens.operators import profiling
 from registry import views
 from registry.catalog import check
-from registry.sql import mean, pct, using
+from registry.sql import mean, pct, quantile, using
 from registry.views import ROLES
 
 MEASURES = ["CONSUMO", "IMPORTE"]
@@ -18,8 +18,7 @@ def _usable(spark, folder):
 
 def _describe(c):
     quantiles = ", ".join(
-        f"quantile_cont({c}, {p}) AS {n}"
-        for p, n in (("0.01", "p1"), ("0.25", "p25"), ("0.5", "p50"), ("0.75", "p75"), ("0.99", "p99"))
+        f"{quantile(c, p, USABLE)} AS {n}" for p, n in profiling.PERCENTILES.items()
     )
     far = f"count(*) FILTER (WHERE abs({c} - m) / s > 3)"
     return f"""SELECT '{c}' AS columna, {mean(c)} AS media, round(stddev_samp({c}), 4) AS std, min({c}) AS minimo,
@@ -87,7 +86,7 @@ def _(spark, folder):
 
 
 @check("histogram_capped", using("readings", body="""@@""").replace("\n@@", f""",
-b AS (SELECT min(CONSUMO) AS lo, quantile_cont(CONSUMO, 0.99) AS hi FROM {USABLE}),
+b AS (SELECT min(CONSUMO) AS lo, {quantile('CONSUMO', 0.99, USABLE)} AS hi FROM {USABLE}),
 counted AS (
   SELECT least(floor((least(CONSUMO, hi) - lo) / ((hi - lo) / 80)), 79) AS bin, count(*) AS n FROM {USABLE}, b GROUP BY 1)
 SELECT CAST(i AS INTEGER) AS bin, lo + i * ((hi - lo) / 80) AS desde,
@@ -103,7 +102,7 @@ def _box(c):
   any_value(q3) AS q3, any_value({low}) AS limite_inferior,
   any_value({high}) AS limite_superior, min({c}) FILTER (WHERE {c} >= {low}) AS bigote_inferior,
   max({c}) FILTER (WHERE {c} <= {high}) AS bigote_superior, count(*) FILTER (WHERE {c} < {low} OR {c} > {high}) AS atipicos
-FROM {USABLE}, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM {USABLE})"""
+FROM {USABLE}, (SELECT {quantile(c, 0.25, USABLE)} AS q1, {quantile(c, 0.5, USABLE)} AS q2, {quantile(c, 0.75, USABLE)} AS q3)"""
 
 
 @check("box_stats", using("readings", body=" UNION ALL ".join(_box(c) for c in MEASURES)))

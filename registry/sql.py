@@ -16,6 +16,15 @@ def rnd(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
 
 
+def quantile(x: str, p: float, source: str) -> str:
+    """Linear interpolation from the nearer neighbour, spelled out so that every digit is defined."""
+    at = f"CAST({p} AS DOUBLE) * (n - 1)"
+    return f"""(SELECT CASE WHEN w >= 0.5 THEN hi - (hi - lo) * (1 - w) ELSE lo + (hi - lo) * w END FROM (
+  SELECT max(v) FILTER (WHERE r = floor({at})) AS lo, max(v) FILTER (WHERE r = ceil({at})) AS hi,
+         any_value({at} - floor({at})) AS w
+  FROM (SELECT {x} AS v, row_number() OVER (ORDER BY {x}) - 1 AS r, count(*) OVER () AS n FROM {source})))"""
+
+
 def pct(part: str, whole: str, digits: int = 2) -> str:
     share = rnd(f"CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100", digits)
     return f"CASE WHEN {whole} > 0 THEN {share} ELSE 0.0 END"

@@ -57,7 +57,7 @@ def test_padding_never_truncates(spark):
 
 def test_headers():
     assert clean_header("ï»¿ NRO ") == "NRO"
-    assert clean_header("﻿NRO") == "NRO"
+    assert clean_header("\ufeffNRO") == "NRO"
 
 
 BOUNDARIES = [

@@ -66,7 +66,7 @@ def test_star_keeps_the_first_row_of_a_key(spark):
 
 
 def test_headers_and_union(spark):
-    df = spark.createDataFrame([(1, 2)], "`﻿A ` int, b int")
+    df = spark.createDataFrame([(1, 2)], "`\ufeffA ` int, b int")
     assert cleaning.normalise_headers(df).columns == ["A", "b"]
     stacked = cleaning.union_sources(
         spark.createDataFrame([(1, "x")], "a int, b string"), spark.createDataFrame([("y", True)], "b string, c boolean")

@@ -128,15 +128,17 @@ def top_customers(joined: DataFrame, customer: str, k: int = 10, roles: Roles =
 
 
 def rfm_base(joined: DataFrame, customer: str | None = None, roles: Roles = DEFAULT) -> DataFrame:
-    """Days since the last purchase, distinct periods and total amount of each customer."""
+    """Days since the last purchase, distinct periods and total amount of each customer.
+
+    The newest date is taken from the stored per-customer rows, so the invoices are read once.
+    """
     customer = customer or roles.document
-    issued = F.to_date(F.col(roles.issued))
-    newest = F.coalesce(joined.agg(F.max(issued)).scalar(), F.current_date())
-    per_customer = joined.groupBy(customer).agg(
-        F.max(issued).alias("_last"),
+    per_customer = settle(joined.groupBy(customer).agg(
+        F.max(F.to_date(F.col(roles.issued))).alias("_last"),
         F.countDistinct(roles.period).alias("frequency"),
         exact_sum(roles.amount).alias("monetary"),
-    )
+    ), "customers")
+    newest = F.coalesce(per_customer.agg(F.max("_last")).scalar(), F.current_date())
     return fill_zero(
         per_customer.select(customer, F.datediff(newest, F.col("_last")).alias("recency"), "frequency", "monetary"),
         ["recency", "frequency", "monetary"],

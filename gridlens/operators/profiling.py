@@ -66,11 +66,7 @@ def profile_categorical(df: DataFrame, columns: Sequence[str], rare_below: int =
     Values are counted first, so a dominant value is one row per task before anything is shuffled.
     """
     n, value = F.col("_n"), F.col("valor")
-    counted = (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], list(columns), "columna", "valor")
-        .groupBy("columna", "valor").agg(F.count("*").alias("_n"))
-    )
+    counted = _value_counts(df, columns, "_n")
     profile = counted.groupBy("columna").agg(
         F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("nulos"),
         F.coalesce(F.sum(F.when(is_blank(value), n)), F.lit(0)).alias("blancos"),
@@ -81,14 +77,24 @@ def profile_categorical(df: DataFrame, columns: Sequence[str], rare_below: int =
     return profile.withColumn("variantes_espacios", F.col("_stripped") < F.col("unicos")).drop("_stripped")
 
 
+def _value_counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    return (
+        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+        .unpivot([], list(columns), "columna", "valor")
+        .groupBy("columna", "valor").agg(F.count("*").alias(name))
+    )
+
+
+def rare_categories(df: DataFrame, columns: Sequence[str], rare_below: int = 10) -> DataFrame:
+    """Values seen fewer than ``rare_below`` times, per column."""
+    counted = _value_counts(df, columns, "cantidad")
+    return counted.filter(F.col("valor").isNotNull() & (F.col("cantidad") < rare_below))
+
+
 def top_k_categories(df: DataFrame, columns: Sequence[str], k: int = 10) -> DataFrame:
     """The k most frequent values of each column with their share of all rows."""
     rows = df.agg(F.count("*")).scalar()
-    counted = (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], list(columns), "columna", "valor").filter(F.col("valor").isNotNull())
-        .groupBy("columna", "valor").agg(F.count("*").alias("cantidad"))
-    )
+    counted = _value_counts(df, columns, "cantidad").filter(F.col("valor").isNotNull())
     best = Window.partitionBy("columna").orderBy(F.desc("cantidad"), "valor")
     return (
         counted.withColumn("puesto", F.row_number().over(best)).filter(F.col("puesto") <= k)

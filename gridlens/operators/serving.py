@@ -75,18 +75,22 @@ def kpi_report(fact: DataFrame, k: int = 5) -> DataFrame:
     """The whole report as rows (seccion, clave, indicador, valor), so no section has to fit in one row."""
     general = fact.agg(
         F.count("*").cast("double").alias("total_anomalias_detectadas"),
-        F.countDistinct("distrito").cast("double").alias("total_distritos_afectados"),
-        F.countDistinct("tarifa").cast("double").alias("total_tarifas_afectadas"),
-        F.countDistinct("cartera").cast("double").alias("total_carteras_afectadas"),
         F.round(exact_avg("zscore_consumo"), 4).alias("promedio_zscore_global"),
         F.round(F.max("zscore_consumo"), 4).alias("max_zscore_global"),
         share_pct(F.count_if(F.col("nivel_riesgo") == v.RISK_HIGH), F.count("*")).alias("pct_anomalias_nivel_alto"),
         share_pct(F.count_if(F.col("flag_anomalia")), F.count("*")).alias("pct_flag_true"),
         F.count_if(F.col("zscore_consumo").isNull()).cast("double").alias("nulos_zscore"),
     )
+    # Several distinct counts multiply every row; here they only multiply the distinct groups.
+    affected = fact.select("distrito", "tarifa", "cartera").distinct().agg(
+        F.countDistinct("distrito").cast("double").alias("total_distritos_afectados"),
+        F.countDistinct("tarifa").cast("double").alias("total_tarifas_afectadas"),
+        F.countDistinct("cartera").cast("double").alias("total_carteras_afectadas"),
+    )
     sections = [
-        general.unpivot([], general.columns, "indicador", "valor")
+        part.unpivot([], part.columns, "indicador", "valor")
         .select(F.lit(GENERAL).alias("seccion"), F.lit("").alias("clave"), "indicador", "valor")
+        for part in (general, affected)
     ]
     for section, column in (("distribucion_tipo_anomalia", "tipo_anomalia"), ("distribucion_nivel_riesgo", "nivel_riesgo")):
         sections.append(_as_section(distribution(fact, column), section))
@@ -132,10 +136,13 @@ def district_heatmap(fact: DataFrame) -> DataFrame:
 
 def district_places(dim: DataFrame, roles: Roles = DEFAULT, first_by: Sequence[str] | None = None) -> DataFrame:
     """Department and geographic code of each district: its first dimension row."""
-    order = F.struct(*(first_by or [roles.department, roles.geo_code]))
+    first_by = list(first_by or [roles.department, roles.geo_code])
+    order = F.struct(*first_by)
     place = F.struct(F.col(roles.department).alias("departamento"), F.col(roles.geo_code).alias("ubigeo"))
     return (
         dim.filter(F.col(roles.district).isNotNull())
+        # Hash distinct first: few places are left for min_by, which sorts its input.
+        .select(*dict.fromkeys([roles.district, roles.department, roles.geo_code, *first_by])).distinct()
         .groupBy(F.col(roles.district).alias("distrito")).agg(F.min_by(place, order).alias("_p"))
         .select("distrito", "_p.departamento", F.col("_p.ubigeo").cast("string").alias("ubigeo"))
     )

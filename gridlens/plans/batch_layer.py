@@ -15,7 +15,7 @@ REUSED = ("tmp_estadisticas_historicas", "rfm_clientes")
 
 
 def batch_tables(joined: DataFrame, customer: str | None = None, roles: Roles = DEFAULT) -> dict[str, DataFrame]:
-    rfm = settle(batch.rfm_base(joined, customer, roles), "rfm")
+    rfm = batch.rfm_base(joined, customer, roles)
     return {
         "tmp_estadisticas_historicas": batch.historical_statistics(joined, roles),
         "kpis_globales": batch.global_kpis(joined, roles),

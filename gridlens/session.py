@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+TASKS_PER_CORE = 4
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -26,9 +28,19 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        # 200 shuffle partitions starve a large cluster; adaptive execution merges what turns out small.
+        cores = spark.sparkContext.defaultParallelism
+        size_shuffles(spark, TASKS_PER_CORE * cores)
     return spark
 
 
+def size_shuffles(spark: SparkSession, partitions: int) -> None:
+    """Start shuffles with at least ``partitions`` partitions. Aim at a few hundred MB per partition."""
+    partitions = max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+
+
 def build_session(app_name: str = "gridlens", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -17,6 +17,10 @@ def write_large_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> N
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Parquet, optionally in folders per value. Rows are brought together by folder first, so that not
+    every task writes into every folder; adaptive execution splits a folder that holds most rows."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

@@ -67,6 +67,12 @@ def _(spark, folder):
     return profiling.top_k_categories(_text(spark, folder), ["estado", "cliente", "prioridad"])
 
 
+@check("rare_categories", f"""WITH {TEXT}
+SELECT columna, valor, n AS cantidad FROM counted WHERE valor IS NOT NULL AND n < 10""")
+def _(spark, folder):
+    return profiling.rare_categories(_text(spark, folder), ["estado", "cliente", "prioridad"])
+
+
 @check("crosstab_margins", using("invoices", body="""
 SELECT CASE WHEN grouping(TARIFA) = 1 THEN 'All' ELSE TARIFA END AS TARIFA,
        CASE WHEN grouping(CARTERA) = 1 THEN 'All' ELSE CARTERA END AS CARTERA, count(*) AS cantidad

@@ -8,9 +8,13 @@ from conftest import rows
 from gridlens import session
 from gridlens.operators.quality import check_statistics
 from gridlens.plans.batch_layer import run_batch
+from gridlens.plans.exploration import explore
 from gridlens.plans.ingest import ingest
+from gridlens.plans.producer import produce
 from gridlens.plans.serving_layer import serve
 from gridlens.plans.speed_layer import anomalies
+from gridlens.sources.csv_folder import sample_first_files
+from gridlens.sources.tables import read_events_json
 
 
 @pytest.fixture
@@ -60,6 +64,26 @@ def test_raw_files_to_published_tables(spark, raw_folder, tmp_path):
     assert set(json.loads(report[0])) == {"seccion", "clave", "indicador", "valor"}
 
 
+def test_exploration_of_a_sample(spark, raw_folder, tmp_path):
+    raw = sample_first_files(spark, raw_folder, rows=100)
+    reports = explore(raw, str(tmp_path / "profile"))
+    assert reports["registros"].first()[0] == raw.filter("CONSUMO <> 'x'").count()
+    assert sorted(r[0] for r in rows(reports["numericas"], "columna")) == ["CONSUMO", "IMPORTE"]
+    spaces = dict(rows(reports["categoricas"], "columna", "variantes_espacios"))
+    assert spaces["DISTRITO"] is False and len(spaces) == 7
+    assert spark.read.json(str(tmp_path / "profile" / "histograma_consumo")).count() == 80
+
+
+def test_events_are_stored_for_replay(spark, raw_folder, tmp_path):
+    fact = ingest(spark, raw_folder, str(tmp_path / "out"))["fact"]
+    events = produce(fact, str(tmp_path / "events"), max_events=50, stamp="20250101_000000")
+    stored = read_events_json(spark, str(tmp_path / "events" / "eventos_simples"))
+    assert sorted(rows(stored, "NRO_DOC_FAC", "CONSUMO")) == sorted(rows(events, "NRO_DOC_FAC", "CONSUMO"))
+    assert {str(r[0])[:10] for r in rows(stored, "FECHA_EMISION")} == {"2023-01-15"}
+    wrapped = spark.read.json(str(tmp_path / "events" / "eventos_kafka_simulados"))
+    assert wrapped.agg(F.max("_id_evento")).first()[0] == "SIM-20250101_000000-00000050"
+
+
 def test_settled_tables_survive_and_keep_their_schema(spark):
     df = spark.range(5).select(F.col("id"), F.lit("x").alias("t"))
     kept = session.settle(df, "check")

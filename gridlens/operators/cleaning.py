@@ -21,8 +21,11 @@ def _number(name: str) -> Column:
 
 
 def _whole_number(name: str, kind: str) -> Column:
-    number = _number(name)
-    return F.when(number == F.floor(number), number.try_cast(kind))
+    """Digits are read directly; only other spellings of a whole number (``202301.0``) are parsed twice."""
+    number = F.col(name).try_cast("double")
+    return F.coalesce(
+        F.col(name).cast("string").try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind))
+    )
 
 
 def coerce_types(df: DataFrame, roles: Roles = DEFAULT, date_format: str = "yyyyMMdd") -> DataFrame:

@@ -19,6 +19,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Tables of fewer files than cores, like the driver's single-row-group files, would run in one task.
+    Tables of many files are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def period(moment: str) -> Column:
     return (F.year(moment) * 100 + F.month(moment)).cast("int")
 
@@ -78,7 +85,7 @@ def raw_invoices(spark: SparkSession, folder: str) -> DataFrame:
     def untidy(name: str) -> Column:
         return F.concat(F.lit("  "), F.lower(name), F.lit("\t "))
 
-    return invoices(spark, folder).select(
+    return spread(invoices(spark, folder)).select(
         ROLES.document, F.col(ROLES.period).cast("string").alias(ROLES.period),
         *[measure(c).alias(c) for c in ROLES.measures],
         *[date(c).alias(c) for c in (ROLES.issued, ROLES.due)],

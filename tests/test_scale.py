@@ -1,0 +1,109 @@
+"""Plans and results when one key holds a third of the rows."""
+
+import contextlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from gridlens import Roles, settle
+from gridlens.operators import batch, cleaning, profiling, quality, scoring
+from registry import views
+
+ROLES = Roles()
+
+
+@contextlib.contextmanager
+def setting(spark, **values):
+    keys = {k.replace("__", "."): str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """Document 0 holds a third of 60,000 rows."""
+    fact = spark.range(60_000).select(
+        F.when(F.col("id") < 20_000, F.lit(0)).otherwise(F.col("id") % 5000).cast("string").alias(ROLES.document),
+        F.lit(202401).alias(ROLES.period), (F.col("id") % 97 + 1).cast("double").alias(ROLES.consumption),
+        (F.col("id") % 89 + 1).cast("double").alias(ROLES.amount), F.md5(F.col("id").cast("string")).alias("_pad"),
+    )
+    dim = spark.range(5000).select(
+        F.col("id").cast("string").alias(ROLES.document),
+        F.concat(F.lit("D"), F.col("id") % 7).alias(ROLES.district), F.lit("T").alias(ROLES.tariff),
+        F.lit("C").alias(ROLES.portfolio),
+    )
+    return settle(fact.repartition(8)), settle(dim)
+
+
+def test_hot_join_key_is_split(spark, hot):
+    fact, dim = hot
+    with setting(spark, spark__sql__autoBroadcastJoinThreshold=-1,
+                 spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes=20_000,
+                 spark__sql__adaptive__advisoryPartitionSizeInBytes=20_000,
+                 spark__sql__adaptive__skewJoin__skewedPartitionFactor=1.5,
+                 spark__sql__adaptive__coalescePartitions__enabled="false"):
+        joined = batch.join_fact_dim(fact, dim)
+        assert len(joined.collect()) == 60_000
+        assert "skewed" in plan(joined) or "isSkew" in plan(joined)
+
+
+def test_group_by_sends_one_row_per_group_and_task(spark, hot):
+    fact, dim = hot
+    stats = batch.historical_statistics(batch.join_fact_dim(fact, dim))
+    assert sum(r.total_registros for r in stats.collect()) == 60_000
+    text = plan(stats)
+    assert "partial_sum" in text and "partial_stddev" in text
+
+
+def test_copies_are_dropped_before_the_shuffle(spark, hot):
+    fact, _ = hot
+    first, _ = cleaning.split_star(fact)
+    assert first.count() == 5000
+    assert "WindowGroupLimit" in plan(first)
+
+
+def test_orphans_are_counted_before_the_join(spark, hot):
+    fact, dim = hot
+    missing = quality.fact_without_dim(fact, dim.filter(F.col(ROLES.document) != "0"), ROLES.document)
+    assert rows(missing) == [("0", 20_000 + 8)]
+
+
+def test_dominant_value_in_profiles(spark, hot):
+    fact, _ = hot
+    top = profiling.top_k_categories(fact, [ROLES.document], 1)
+    assert rows(top, "valor", "cantidad") == [("0", 20_008)]
+    assert "WindowGroupLimit" in plan(top)
+    described = profiling.describe_numeric(fact, [ROLES.consumption]).first()
+    assert described.p50 == 49.0
+
+
+def test_filters_and_columns_reach_the_scan(spark, folder):
+    rows_ = views.invoices(spark, folder).filter(F.col(ROLES.consumption) > 49)
+    text = batch.department_ranking(rows_)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(l_quantity,49.0)" in text
+    scan = next(line for line in text.splitlines() if "FileScan" in line and "l_quantity" in line)
+    assert "l_discount" not in scan and "l_shipdate" not in scan
+
+
+def test_no_operator_needs_python_or_a_cartesian_product(spark, folder):
+    for df in (
+        views.anomaly_fact(spark, folder), batch.global_kpis(views.invoices(spark, folder)),
+        cleaning.clean(views.raw_invoices(spark, folder)),
+        scoring.score_with_fallback(
+            spark.createDataFrame([("a", "b", "c", 1.0)], "distrito string, tarifa string, cartera string, consumo_actual double"),
+            views.statistics(spark, folder)),
+    ):
+        text = plan(df)
+        for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert word not in text

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +57,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="gridlens-")
-        spark.conf.set(CHECKPOINT_SETTING, named)
+        named = _local_folder()
     return named.rstrip("/")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="gridlens-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/gridlens/{label}-{uuid.uuid4().hex}"

@@ -104,3 +104,5 @@ def test_shared_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+    Session.sparkContext.master = "local[4]"
+    assert session.shared_folder(Session()) == session.shared_folder(Session())

@@ -21,10 +21,13 @@ def join_fact_dim(fact: DataFrame, dim: DataFrame, roles: Roles = DEFAULT) -> Da
     return fact.join(dim, roles.document, "inner")
 
 
-def historical_statistics(joined: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
-    """Mean, deviation and range per (district, tariff, portfolio); an undefined deviation is 0."""
+def historical_statistics(joined: DataFrame, roles: Roles = DEFAULT, ordered: bool = True) -> DataFrame:
+    """Mean, deviation and range per (district, tariff, portfolio); an undefined deviation is 0.
+
+    The order is for readers; leave it out when the table is only joined.
+    """
     consumption, amount = roles.measures
-    return (
+    stats = (
         joined.groupBy(*roles.group)
         .agg(
             exact_avg(consumption).alias("consumo_promedio"),
@@ -36,8 +39,8 @@ def historical_statistics(joined: DataFrame, roles: Roles = DEFAULT) -> DataFram
             F.count("*").alias("total_registros"),
         )
         .transform(fill_zero)
-        .orderBy(*roles.group)
     )
+    return stats.orderBy(*roles.group) if ordered else stats
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

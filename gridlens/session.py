@@ -22,6 +22,7 @@ RUNTIME_SETTINGS = {
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 TASKS_PER_CORE = 4
+DEFAULT_PARTITIONS = "200"
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -29,10 +30,14 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    if not spark.sparkContext.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
-        # 200 shuffle partitions starve a large cluster; adaptive execution merges what turns out small.
-        cores = spark.sparkContext.defaultParallelism
-        size_shuffles(spark, TASKS_PER_CORE * cores)
+    # The default of 200 shuffle partitions is too many for one machine, above all for streaming state,
+    # and starves a large cluster, where adaptive execution merges what turns out small.
+    cores = spark.sparkContext.defaultParallelism
+    if not spark.sparkContext.master.startswith("local"):
+        if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+            size_shuffles(spark, TASKS_PER_CORE * cores)
+    elif spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
+        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
     return spark
 
 

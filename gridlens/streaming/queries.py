@@ -57,7 +57,10 @@ def classify_batches(df: DataFrame, classify: Callable[[DataFrame], DataFrame],
 
 
 def log_alert_updates(alerts: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Store the windows each micro-batch changed; ``current_alerts`` reads their latest state."""
+    """Store the windows each micro-batch changed; ``current_alerts`` reads their latest state.
+
+    The log keeps every update. ``upsert_alerts`` is the bounded alternative.
+    """
     def work(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/{VERSION}={batch_id}")
 
@@ -71,38 +74,36 @@ def current_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 def upsert_alerts(alerts: DataFrame, folder: str, checkpoint: str, keep: int = 200,
                   trigger: dict | None = None) -> StreamingQuery:
-    """Keep one small table of the newest alerts: every micro-batch writes the next version of it."""
+    """Keep one small table of the newest alerts.
+
+    Two slots take turns: a micro-batch merges the slot of the batch before into its own. A replayed batch
+    therefore finds its input unchanged, and the folder never grows. Folder and checkpoint belong together.
+    """
     def work(batch: DataFrame, batch_id: int) -> None:
-        stored = _alerts_before(batch.sparkSession, folder, batch_id)
-        merged = batch if stored is None else stored
-        merge_alerts(merged.limit(0) if stored is None else merged, batch, keep).write.mode("overwrite").parquet(
-            f"{folder}/{VERSION}={batch_id}"
-        )
+        stored = _slot(batch.sparkSession, folder, batch_id - 1)
+        stored = batch.limit(0) if stored is None else stored.drop(VERSION)
+        merged = merge_alerts(stored, batch, keep).withColumn(VERSION, F.lit(batch_id).cast("bigint"))
+        merged.write.mode("overwrite").parquet(_slot_path(folder, batch_id))
 
     return foreach_batch(alerts, work, checkpoint, "update", trigger)
 
 
-def _versions(spark: SparkSession, folder: str) -> DataFrame | None:
+def _slot_path(folder: str, batch_id: int) -> str:
+    return f"{folder}/slot-{batch_id % 2}"
+
+
+def _slot(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
     try:
-        return spark.read.option("basePath", folder).parquet(folder)
+        return spark.read.parquet(_slot_path(folder, batch_id))
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def _alerts_before(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
-    versions = _versions(spark, folder)
-    if versions is None:
-        return None
-    earlier = versions.filter(F.col(VERSION) < batch_id)
-    newest = earlier.agg(F.max(VERSION)).scalar()
-    return earlier.filter(F.col(VERSION) == newest).drop(VERSION)
-
-
 def stored_alerts(spark: SparkSession, folder: str) -> DataFrame:
     """The newest version written by ``upsert_alerts``."""
-    versions = spark.read.option("basePath", folder).parquet(folder)
+    versions = spark.read.parquet(f"{folder}/slot-*")
     return versions.filter(F.col(VERSION) == versions.agg(F.max(VERSION)).scalar()).drop(VERSION)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from gridlens import Roles, settle
 from gridlens.functions.text import pad_left
@@ -15,8 +16,15 @@ CRITICAL = 150.0
 HOURLY = 100.0
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table. Its schema is read from the file once and given from then on."""
+    path = f"{folder}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -113,7 +121,7 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def statistics(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(batch.historical_statistics(readings(spark, folder)), "statistics")
+    return settle(batch.historical_statistics(readings(spark, folder), ordered=False), "statistics")
 
 
 def enriched(spark: SparkSession, folder: str) -> DataFrame:

@@ -52,6 +52,18 @@ for _by in ("distrito", "tarifa", "cartera"):
     )
 
 
+@check("anomaly_summary", with_summaries(" UNION ALL ".join(
+    f"SELECT '{c}' AS resumen, {c} AS clave, * EXCLUDE ({c}) FROM summary_{c}" for c in ("distrito", "tarifa", "cartera")
+), "distrito", "tarifa", "cartera"))
+def _(spark, folder):
+    fact = fact_table(spark, folder)
+    summaries = [
+        serving.anomaly_summary(fact, c).withColumnRenamed(c, "clave").withColumn("resumen", F.lit(c))
+        for c in ("distrito", "tarifa", "cartera")
+    ]
+    return summaries[0].unionByName(summaries[1]).unionByName(summaries[2])
+
+
 @check("top5_critical", with_summaries("""
 SELECT distrito, total_anomalias, promedio_zscore FROM summary_distrito
 ORDER BY total_anomalias DESC, distrito LIMIT 5""", "distrito"))

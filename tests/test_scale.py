@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from gridlens import Roles, settle
 from gridlens.operators import batch, cleaning, profiling, quality, scoring
+from gridlens.sinks.files import write_bucketed, write_parquet
 from registry import views
 
 ROLES = Roles()
@@ -58,6 +59,24 @@ def test_hot_join_key_is_split(spark, hot):
         assert "skewed" in plan(joined) or "isSkew" in plan(joined)
 
 
+def test_bucketed_dimension_is_not_shuffled(spark, hot, tmp_path):
+    fact, dim = hot
+    stored = write_bucketed(dim, "places_by_document", str(tmp_path / "dim"), ROLES.document, 4)
+    with setting(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        joined = batch.join_fact_dim(fact, stored)
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in text
+        assert joined.count() == 60_000
+    spark.sql("DROP TABLE places_by_document")
+
+
+def test_partitioned_writes_bring_folders_together(spark, tmp_path):
+    rows_ = spark.range(0, 4000, 1, 16).selectExpr("id", "id % 3 AS p")
+    write_parquet(rows_, str(tmp_path / "out"), ["p"])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4000
+    assert len(list((tmp_path / "out").glob("p=*/part-*"))) < 16
+
+
 def test_group_by_sends_one_row_per_group_and_task(spark, hot):
     fact, dim = hot
     stats = batch.historical_statistics(batch.join_fact_dim(fact, dim))

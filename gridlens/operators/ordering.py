@@ -136,7 +136,7 @@ def random_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     Rows are ordered by a keyed hash. Counting the first hash digits finds the digit up to which rows can
     matter, so the top-n sees about ``n`` rows instead of ``n`` per task.
     """
-    draw = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    draw = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
     digits = df.groupBy(F.substring(draw, 1, 4).alias("_digits")).agg(F.count("*").alias("_n"))
     # At most 65,536 digit groups.
     running = Window.orderBy("_digits").rowsBetween(Window.unboundedPreceding, -1)

@@ -213,12 +213,13 @@ def assign_dimensions(events: DataFrame, stats: DataFrame, key: str, seed: int =
                       roles: Roles = DEFAULT) -> DataFrame:
     """Give every event a statistics row drawn with replacement and score it against that row.
 
-    The draw is a keyed hash, so it is uniform, repeatable and spreads evenly over the join. Opt-in: the
-    default flow joins real dimensions.
+    The draw is a hash of the event key, uniform over keys and the same on every run. Every event stays.
+    Opt-in: the default flow joins real dimensions.
     """
     numbered = add_sequence(stats, roles.group, "_n").withColumn("_slot", F.col("_n") - 1)
     slots = stats.agg(F.count("*")).scalar()
-    draw = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 8), 16, 10)
+    keyed = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    draw = F.conv(F.substring(F.md5(keyed), 1, 8), 16, 10)
     history = numbered.select(
         "_slot", *[F.col(c).alias(c.lower()) for c in roles.group],
         F.col("consumo_promedio").alias("consumo_promedio_historico"),
@@ -227,7 +228,7 @@ def assign_dimensions(events: DataFrame, stats: DataFrame, key: str, seed: int =
     )
     replaced = [c for c in history.columns if c != "_slot"] + ["zscore_consumo", "porcentaje_variacion"]
     kept = events.toDF(*[c.lower() for c in events.columns]).drop(*replaced)
-    joined = kept.withColumn("_slot", F.when(slots > 0, draw.cast("bigint") % slots)).join(history, "_slot")
+    joined = kept.withColumn("_slot", F.when(slots > 0, draw.cast("bigint") % slots)).join(history, "_slot", "left")
     value = F.coalesce(F.col("consumo_actual").try_cast("double"), F.lit(0.0))
     mean = F.coalesce("consumo_promedio_historico", F.lit(0.0))
     std = F.coalesce(F.nullif("desviacion_consumo", F.lit(0.0)), F.lit(1.0))

@@ -8,7 +8,6 @@ from registry import views
 from registry.catalog import check
 from registry.sql import mean, pct, rnd, total, using
 from registry.scoring import std4
-from registry.views import ROLES
 
 
 def fact_table(spark, folder):

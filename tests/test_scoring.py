@@ -132,6 +132,9 @@ def test_drawn_dimensions_are_uniform_and_clipped(spark, stats):
     events = spark.range(3000).selectExpr("CAST(id AS string) AS NRO_DOC_FAC", "1000D AS CONSUMO_ACTUAL", "'old' AS distrito")
     drawn = settle(scoring.assign_dimensions(events, settle(stats), "nro_doc_fac"))
     assert drawn.count() == 3000
+    unkeyed = events.limit(2).withColumn("NRO_DOC_FAC", F.lit(None).cast("string"))
+    assert scoring.assign_dimensions(unkeyed, settle(stats), "nro_doc_fac").filter("tarifa IS NOT NULL").count() == 2
+    assert scoring.assign_dimensions(events, settle(stats.limit(0)), "nro_doc_fac").count() == 3000
     share = dict(rows(drawn.groupBy(F.concat("distrito", "tarifa")).count()))
     assert set(share) == {"XT1", "XT2", "YT1"} and all(900 < n < 1100 for n in share.values())
     assert drawn.agg(F.max("zscore_consumo"), F.max("porcentaje_variacion")).first() == (5.0, 500.0)

@@ -7,8 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
-
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+from registry.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlens import tune
-from gridlens.llm import mixing, simhash
+from gridlens.llm import mixing, repair, simhash
 from gridlens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op10_repair_ids": lambda spark, folder: repair.stored_documents(tune(spark), folder),
     "op2_curriculum_mix": _over("documents", mixing.mix_sizes),
     "op7_simhash_blocks": _over("documents", simhash.document_components),
 }

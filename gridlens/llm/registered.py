@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlens import tune
-from gridlens.llm import mixing, quality, repair, simhash
+from gridlens.llm import byte_pairs, mixing, quality, repair, simhash
 from gridlens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_byte_bpe": _over("documents", byte_pairs.round_trip),
     "op4_fourier_quality": lambda spark, folder: quality.score_documents(
         read(tune(spark), folder, "documents"), read(spark, folder, "labels")),
     "op10_repair_ids": lambda spark, folder: repair.stored_documents(tune(spark), folder),

@@ -30,16 +30,21 @@ from gridlens.session import scratch_path
 END_ID = 2
 #: Documents in a shard, and tokens after which a segment of a shard is closed.
 SHARD_DOCUMENTS = 4096
-SEGMENT_TOKENS = 1 << 21
+SEGMENT_TOKENS = 1 << 20
 #: Pairs replaced in one round, rounds, and how often a pair must occur.
 ROUND_PAIRS, ROUNDS, LEAST = 2048, 8, 8
+#: Bits of the hash that counts pairs.
+PLACE_BITS = 20
 #: Different words whose ids a task remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 #: What the tokenizer's pattern takes for white space; str.split() also splits at the four separators 1C to 1F.
 _SPACE = re.compile(r"[\x09-\x0D\x20\x85\xA0  -     　]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
+#: The tokenizer's pattern for printable ASCII in lower case, where bytes stand for themselves.
+_ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+
 ENCODED = "id long, shard int, ids binary"
 SEGMENT = ("shard int, segment int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, base long, width int, "
            "rules binary, lengths binary, symbols binary")
@@ -52,12 +57,48 @@ def _words(text: str) -> list[str]:
     return text.split()
 
 
+class _Pieces(dict):
+    """Ids of a pre-tokenized piece by the library's model."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.model = tokenizer.model
+
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return ids
+
+
+class _Words(dict):
+    """Ids of a word without white space: the library's steps, each different word and piece once."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.tokenizer, self.pieces = tokenizer, _Pieces(tokenizer)
+        self.normal, self.cut = tokenizer.normalizer, tokenizer.pre_tokenizer
+
+    def forget(self) -> None:
+        self.clear()
+        self.pieces.clear()
+
+    def __missing__(self, word: str) -> bytes:
+        if "<|" in word:  # may hold a special token
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        elif word.isascii() and word.isprintable():
+            ids = b"".join(map(self.pieces.__getitem__, _ASCII_PIECE.findall(word.lower())))
+        else:
+            ids = b"".join(self.pieces[p] for p, _ in self.cut.pre_tokenize_str(self.normal.normalize_str(word)))
+        self[word] = ids
+        return ids
+
+
 def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", id_column: str = "doc_id",
            end_id: int = END_ID, shard_documents: int = SHARD_DOCUMENTS) -> DataFrame:
     """id, shard (by ranges of ids), ids (little-endian unsigned 32-bit, the end id last).
 
-    The tokenizer drops white space and never merges across it, so each different word goes through the library once
-    per task and whole texts are put together from words.
+    The tokenizer drops white space and never merges across it, so each different word, and of words each different
+    piece, goes through the library once per task; whole texts are put together from them. Words of printable ASCII are
+    cut into pieces by the tokenizer's own pattern, all others by its normalizer and pre-tokenizer.
     """
     rows = docs.filter(F.col(id_column).isNotNull()).agg(F.count("*")).first()[0]
     shards = max(1, -(-rows // shard_documents))
@@ -68,21 +109,14 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", id_column:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        tokenizer, known = Tokenizer.from_file(tokenizer_file), {}
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
+        coded = _Words(Tokenizer.from_file(tokenizer_file))
         end = array("I", [end_id]).tobytes()
         for batch in batches:
             out = []
-            for words in map(_words, batch.column(1).to_pylist()):
-                new = list(set(words).difference(known))
-                if new:
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                        new = list(set(words))
-                    coded = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                    known.update(zip(new, (array("I", c.ids).tobytes() for c in coded)))
-                out.append(b"".join(map(known.__getitem__, words)) + end)
+            for text in batch.column(1):
+                out.append(b"".join(map(coded.__getitem__, _words(text.as_py()))) + end)
+                if len(coded) > REMEMBERED:
+                    coded.forget()
             ids = batch.column(0)
             shard = np.searchsorted(edges, ids.fill_null(0).to_numpy(zero_copy_only=False), side="left").astype(np.int32)
             shard[ids.is_null().to_numpy(zero_copy_only=False)] = 0
@@ -94,31 +128,32 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", id_column:
 def compress(ids: np.ndarray, base: int, round_pairs: int = ROUND_PAIRS, rounds: int = ROUNDS,
              least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """(rules, symbols): rule k stands for the pair rules[k] and is written as base + k."""
-    symbols, rules = ids.astype(np.int64), np.empty((0, 2), np.int64)
-    bits = 22
+    symbols, rules = ids.astype(np.uint32), np.empty((0, 2), np.uint32)
+    places = 1 << PLACE_BITS
     for _ in range(rounds):
         if len(symbols) < 2 * least:
             break
         left, right = symbols[:-1], symbols[1:]
-        # Count pairs by a hash first; only pairs in the fullest places are counted one by one.
-        place = ((left * 0x9E3779B1 + right * 0x85EBCA77) >> 7) & ((1 << bits) - 1)
-        counts = np.bincount(place, minlength=1 << bits)
+        # Pairs are counted by a hash; in each of the fullest places the pair that came last is looked at.
+        place = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - PLACE_BITS)
+        counts = np.bincount(place, minlength=places)
         full = np.flatnonzero(counts >= least)
-        if not len(full):
-            break
         if len(full) > round_pairs:
             full = full[np.argpartition(counts[full], -round_pairs)[-round_pairs:]]
-        in_full = np.zeros(1 << bits, bool)
-        in_full[full] = True
-        at = np.flatnonzero(in_full[place])
-        pairs, index, often = np.unique((left[at] << 32) | right[at], return_inverse=True, return_counts=True)
-        chosen = often >= least
+        number = np.full(places, -1, np.int32)
+        number[full] = np.arange(len(full), dtype=np.int32)
+        index = number[place]
+        at = np.flatnonzero(index >= 0)
+        index = index[at]
+        pair = np.zeros((len(full), 2), np.uint32)
+        pair[index, 0], pair[index, 1] = left[at], right[at]
+        same = (pair[index, 0] == left[at]) & (pair[index, 1] == right[at])
+        at, index = at[same], index[same]
+        chosen = np.bincount(index, minlength=len(full)) >= least
         if not chosen.any():
             break
-        number = np.full(len(pairs), -1, np.int64)
-        number[chosen] = base + len(rules) + np.arange(chosen.sum())
         keep = chosen[index]
-        at, new = at[keep], number[index][keep]
+        at, new = at[keep], (base + len(rules) - 1 + np.cumsum(chosen))[index[keep]]
         # Of overlapping places every second one, counted from the left end of the run.
         starts = np.concatenate(([True], np.diff(at) != 1))
         first = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
@@ -128,7 +163,7 @@ def compress(ids: np.ndarray, base: int, round_pairs: int = ROUND_PAIRS, rounds:
         left_over = np.ones(len(symbols), bool)
         left_over[at + 1] = False
         symbols = symbols[left_over]
-        rules = np.concatenate((rules, np.stack((pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF), axis=1)))
+        rules = np.concatenate((rules, pair[chosen]))
     return rules, symbols
 
 

@@ -34,7 +34,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 from gridlens.llm.common import fresh, stored, whole
 
 #: Most pieces whose ids are looked up instead of merged anew, and buckets of that table.
-HEAD, HEAD_BUCKETS = 1 << 17, 1 << 16
+HEAD, HEAD_BUCKETS = 1 << 19, 1 << 18
 PAIR_BUCKETS = 1 << 17
 #: Bytes from which a piece is merged with a heap.
 LONG = 256
@@ -151,6 +151,11 @@ def pair_table(spark: SparkSession, vocabulary: Vocabulary) -> Column:
     return one_row(spark, buckets, pa.int64(), pa.int32())
 
 
+def merge_tables(spark: SparkSession, vocabulary: Vocabulary) -> Column:
+    """What ``fold`` reads: the pairs and the ids of the 256 bytes."""
+    return F.struct(pair_table(spark, vocabulary).alias("pairs"), F.array(*map(F.lit, vocabulary.byte_ids)).alias("bytes"))
+
+
 def find(table: Column, buckets: int, key: Column) -> Column:
     """The value of ``key`` in an array of small maps, or null."""
     return F.get(table, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))[key]
@@ -230,7 +235,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
     """``docs`` with the ids of the text as array<int>."""
     spark = docs.sparkSession
     found, far, tables = fresh(docs, "_pieces", "_far", "_tables")
-    merges = F.struct(pair_table(spark, vocabulary).alias("pairs"), F.array(*map(F.lit, vocabulary.byte_ids)).alias("bytes"))
+    merges = merge_tables(spark, vocabulary)
 
     cut = docs.select(pieces(whole(text), pattern).alias(found))
     common = frequent_pieces(cut, found, head).withColumn(tables, merges)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlens import tune
-from gridlens.llm import byte_pairs, mixing, quality, repair, simhash, token_counts
+from gridlens.llm import byte_pairs, mixing, quality, repair, simhash, suffix_tree, token_counts
 from gridlens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op9_suffix_tree": _over("documents", suffix_tree.document_scores),
     "op3_whole_tokens": _over("documents", token_counts.document_counts),
     "op1_byte_bpe": _over("documents", byte_pairs.round_trip),
     "op4_fourier_quality": lambda spark, folder: quality.score_documents(

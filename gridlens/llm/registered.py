@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlens import tune
-from gridlens.llm import byte_pairs, merkle, mixing, quality, repair, simhash, suffix_tree, token_counts, vectors
+from gridlens.llm import byte_pairs, lines, merkle, mixing, quality, repair, simhash, suffix_tree, token_counts, vectors
 from gridlens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    "op8_line_dedup": _over("documents", lines.document_lines),
     "op5_merkle_tree": _over("documents", merkle.fingerprints),
     "op6_product_quantisation": _over("embeddings", vectors.vector_components),
     "op9_suffix_tree": _over("documents", suffix_tree.document_scores),

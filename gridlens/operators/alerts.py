@@ -49,8 +49,8 @@ def latest_per_key(updates: DataFrame, version: str) -> DataFrame:
     return newest.select(*ALERT_KEY, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def merge_alerts(stored: DataFrame, batch: DataFrame, keep: int | None = 200) -> DataFrame:
-    """Stored alerts overwritten by a batch; only the newest ``keep`` windows stay."""
+def merge_alerts(stored: DataFrame, batch: DataFrame, keep: int | None = None) -> DataFrame:
+    """Stored alerts overwritten by a batch. All of them stay; ``keep`` is for a reader that wants the newest only."""
     both = stored.withColumn("_version", F.lit(0)).unionByName(batch.withColumn("_version", F.lit(1)))
     merged = latest_per_key(both, "_version").select(*batch.columns)
     return merged if keep is None else latest_alerts(merged, keep)

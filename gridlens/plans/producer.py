@@ -12,8 +12,8 @@ from gridlens.sinks.messages import publish_events, store_events
 
 
 def produce(fact: DataFrame, out: str | None = None, servers: str | None = None, topic: str | None = None,
-            max_events: int = 500_000, stamp: str | None = None, roles: Roles = DEFAULT) -> DataFrame:
-    """The first ``max_events`` rows in replay order (0 for all), to a topic when a broker is given, else to
+            max_events: int = 0, stamp: str | None = None, roles: Roles = DEFAULT) -> DataFrame:
+    """All rows in replay order, or the first ``max_events`` if it is not 0, to a topic when a broker is given, else to
     files: the plain events and the same events with their simulation envelope."""
     events = ordered_events(fact, roles, max_events)
     if servers and topic:

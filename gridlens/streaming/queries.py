@@ -59,7 +59,7 @@ def classify_batches(df: DataFrame, classify: Callable[[DataFrame], DataFrame],
 def log_alert_updates(alerts: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Store the windows each micro-batch changed; ``current_alerts`` reads their latest state.
 
-    The log keeps every update. ``upsert_alerts`` is the bounded alternative.
+    The log keeps every update. ``upsert_alerts`` rewrites them into one table instead.
     """
     def work(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/{VERSION}={batch_id}")
@@ -72,12 +72,12 @@ def current_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return latest_per_key(updates, VERSION)
 
 
-def upsert_alerts(alerts: DataFrame, folder: str, checkpoint: str, keep: int = 200,
+def upsert_alerts(alerts: DataFrame, folder: str, checkpoint: str, keep: int | None = None,
                   trigger: dict | None = None) -> StreamingQuery:
-    """Keep one small table of the newest alerts.
+    """Keep one table of all alerts in their latest state; ``latest_alerts`` cuts it on read.
 
     Two slots take turns: a micro-batch merges the slot of the batch before into its own. A replayed batch
-    therefore finds its input unchanged, and the folder never grows. Folder and checkpoint belong together.
+    therefore finds its input unchanged, and superseded versions do not pile up. Folder and checkpoint belong together.
     """
     def work(batch: DataFrame, batch_id: int) -> None:
         stored = _slot(batch.sparkSession, folder, batch_id - 1)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gridlens.functions.text import clean_header
+from gridlens.functions.text import BYTE_ORDER_MARKS, clean_header
 from gridlens.operators.cleaning import union_sources
 from gridlens.operators.events import cap_rows_per_source
 
@@ -17,6 +18,7 @@ SEPARATORS = (";", ",", "\t")
 NO_SEPARATOR = "\u0001"
 OVERFLOW = "_overflow"
 SOURCE = "_source"
+MALFORMED = "_malformed"
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str], encoding: str) -> DataFrame:
@@ -63,30 +65,61 @@ def detect_separator(spark: SparkSession, path: str | Sequence[str], encoding: s
 
 def _read_layout(spark: SparkSession, files: Sequence[str], columns: Sequence[str], separator: str,
                  encoding: str) -> DataFrame:
-    """All columns as text. Short rows are padded with nulls; rows with too many fields are left out."""
+    """All columns as text. Short rows are padded with nulls; rows with too many fields are marked ``MALFORMED``."""
     schema = ", ".join(f"`{c}` string" for c in [*columns, OVERFLOW])
     raw = (
         spark.read.schema(schema).option("header", True).option("sep", separator).option("encoding", encoding)
-        .option("mode", "PERMISSIVE").csv(list(files))
+        .option("mode", "PERMISSIVE").option("pathGlobFilter", "*.csv").csv(list(files))
     )
-    return (
-        raw.withColumn(SOURCE, F.col("_metadata.file_path")).filter(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
+    return raw.withColumn(SOURCE, F.col("_metadata.file_path")).withColumn(
+        MALFORMED, F.col(OVERFLOW).isNotNull()).drop(OVERFLOW)
+
+
+def _read_known(spark: SparkSession, files: Sequence[str], columns: Sequence[str], separator: str,
+                encoding: str) -> DataFrame:
+    """Files that have ``columns`` in any order, in one read: each file's header line says where a column is.
+
+    A file's header is one small row, joined to the file's rows by its path. A file without a header of these columns
+    makes the read fail.
+    """
+    places = [f"_{i}" for i in range(len(columns))]
+    schema = ", ".join(f"`{c}` string" for c in [*places, OVERFLOW])
+    raw = (
+        spark.read.schema(schema).option("header", False).option("sep", separator).option("encoding", encoding)
+        .option("mode", "PERMISSIVE").option("pathGlobFilter", "*.csv").csv(list(files))
+        .withColumn(SOURCE, F.col("_metadata.file_path"))
     )
+    cells = F.array(*places)
+    marks = "|".join(BYTE_ORDER_MARKS)
+    named = F.transform(cells, lambda c: F.btrim(F.regexp_replace(c, marks, "")))
+    is_header = F.array_sort(named) == F.array_sort(F.array(*[F.lit(c) for c in columns]))
+    headers = raw.filter(is_header).select(F.col(SOURCE).alias("_file"), named.alias("_names")).dropDuplicates(["_file"])
+    joined = raw.filter(~F.coalesce(is_header, F.lit(False))).join(headers, F.col(SOURCE) == F.col("_file"), "left")
+
+    def cell(name: str) -> Column:
+        place = F.array_position("_names", name).cast("int") - 1
+        missing = F.raise_error(F.concat(F.lit(f"no header with {name} in "), F.col(SOURCE)))
+        return F.when(F.col("_names").isNull(), missing).otherwise(F.get(cells, place)).alias(name)
+
+    return joined.select(*[cell(c) for c in columns], SOURCE, F.col(OVERFLOW).isNotNull().alias(MALFORMED))
 
 
 def read_csv_folder(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
                     separator: str | None = None, columns: Sequence[str] | None = None,
                     max_per_file: int | None = None, max_total: int | None = None,
-                    keep_source: bool = False, first_files: int | None = None) -> DataFrame:
+                    keep_source: bool = False, first_files: int | None = None,
+                    keep_malformed: bool = False) -> DataFrame:
     """Every CSV file of a folder, stacked by column name, all columns as text.
 
     The layouts are found with one pass over the first blocks; the driver sees one row per file. When all
-    files share a known layout, give ``separator`` and ``columns`` to skip that pass.
+    files have the same columns, in whatever order, give ``separator`` and ``columns`` to skip that pass.
+    Rows with more fields than the header are left out; ``keep_malformed`` keeps them, marked, so that they can be
+    counted.
     ``max_per_file`` and ``max_total`` limit the rows of each file, ``first_files`` the files by name.
     """
     if separator and columns and first_files is None:
         paths = [path] if isinstance(path, str) else list(path)
-        stacked = _read_layout(spark, paths, columns, separator, encoding)
+        stacked = _read_known(spark, paths, columns, separator, encoding)
     else:
         layouts = file_layouts(spark, path, encoding).orderBy("file").collect()
         if not layouts:
@@ -98,6 +131,8 @@ def read_csv_folder(spark: SparkSession, path: str | Sequence[str], encoding: st
             _read_layout(spark, files, _header_names(header, sep), sep, encoding)
             for (sep, header), files in groups.items()
         ])
+    if not keep_malformed:
+        stacked = stacked.filter(~F.col(MALFORMED)).drop(MALFORMED)
     if max_per_file or max_total:
         order = [c for c in stacked.columns if c != SOURCE]
         stacked = cap_rows_per_source(stacked, SOURCE, order, max_per_file, None if max_per_file else max_total)
@@ -105,7 +140,8 @@ def read_csv_folder(spark: SparkSession, path: str | Sequence[str], encoding: st
 
 
 def _header_names(header: str, separator: str) -> list[str]:
-    return [clean_header(name).strip('"') for name in header.split(separator)]
+    names = next(csv.reader([clean_header(header)], delimiter=separator))
+    return [clean_header(name) for name in names]
 
 
 def sample_first_files(spark: SparkSession, path: str, rows: int = 200_000, files: int = 3,

@@ -14,7 +14,7 @@ from registry.sql import using
 from registry.views import ROLES
 
 
-def _monthly_folder(spark, folder):
+def _monthly_folder(spark, folder, separators=(";", ",")):
     """Invoices as raw CSV, the early periods and the late ones with another separator and column order."""
     path = scratch_path(spark, "raw")
     raw = views.invoices(spark, folder).select(
@@ -22,8 +22,8 @@ def _monthly_folder(spark, folder):
         ROLES.district,
     )
     early = F.col(ROLES.period) < "199601"
-    for name, rows, separator in (
-        ("a", raw.filter(early), ";"), ("b", raw.filter(~early).select(*reversed(raw.columns)), ","),
+    for name, rows, separator in zip(
+        "ab", (raw.filter(early), raw.filter(~early).select(*reversed(raw.columns))), separators, strict=True
     ):
         rows.write.option("header", True).option("sep", separator).csv(f"{path}/{name}")
     return [f"{path}/a", f"{path}/b"]
@@ -36,12 +36,21 @@ def _(spark, folder):
     return csv_folder.read_csv_folder(spark, _monthly_folder(spark, folder))
 
 
+@check("read_csv_folder_known_layout", using("invoices", body="""
+SELECT NRO_DOC_FAC, CAST(PERIODO AS VARCHAR) AS PERIODO, CAST(CONSUMO AS VARCHAR) AS CONSUMO,
+       CAST(IMPORTE AS VARCHAR) AS IMPORTE, DISTRITO FROM invoices"""))
+def _(spark, folder):
+    columns = [ROLES.document, ROLES.period, ROLES.consumption, ROLES.amount, ROLES.district]
+    return csv_folder.read_csv_folder(spark, _monthly_folder(spark, folder, (";", ";")), separator=";", columns=columns)
+
+
 @check("detect_separator", using("invoices", body="""
-SELECT separator FROM (SELECT PERIODO < 199601 AS early, count(*) AS n FROM invoices GROUP BY 1)
-JOIN (SELECT true AS early, ';' AS separator UNION ALL SELECT false, ',') USING (early)"""))
+SELECT folder, separator FROM (SELECT PERIODO < 199601 AS early, count(*) AS n FROM invoices GROUP BY 1)
+JOIN (SELECT true AS early, 'a' AS folder, ';' AS separator UNION ALL SELECT false, 'b', ',') USING (early)"""))
 def _(spark, folder):
     found = csv_folder.detect_separator(spark, _monthly_folder(spark, folder))
-    return found.select("separator").distinct()
+    # Spark names and counts the files itself; what SQL can know is the folder each lies in.
+    return found.select(F.element_at(F.split("file", "/"), -2).alias("folder"), "separator").distinct()
 
 
 @check("read_fact", using("invoices", body="""

@@ -57,6 +57,27 @@ def test_known_layout_needs_no_detection(spark, raw_folder):
     assert df.count() == 3 and df.first()["_source"].endswith("2023_04.csv")
 
 
+def test_known_layout_reads_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A;B\na1;b1\na2\na3;b3;too many\n")
+    (tmp_path / "b.csv").write_text("\ufeffB;A\nb2;a4\n")
+    (tmp_path / "notes.txt").write_text("hello;world\n")
+    expected = [("a1", "b1"), ("a2", None), ("a4", "b2")]
+    read = csv_folder.read_csv_folder
+    assert sorted(rows(read(spark, str(tmp_path), separator=";", columns=["A", "B"]), "A", "B")) == expected
+    assert sorted(rows(read(spark, str(tmp_path)), "A", "B")) == expected
+    marked = read(spark, str(tmp_path), separator=";", columns=["A", "B"], keep_malformed=True)
+    assert marked.filter("_malformed").count() == 1
+    (tmp_path / "c.csv").write_text("A;C\n1;2\n")
+    with pytest.raises(PySparkException):
+        read(spark, str(tmp_path), separator=";", columns=["A", "B"]).collect()
+
+
+def test_quoted_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"A;1";B\nx;y\n')
+    df = csv_folder.read_csv_folder(spark, str(tmp_path))
+    assert df.columns == ["A;1", "B"] and rows(df) == [("x", "y")]
+
+
 def test_latin1(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("A;B\nCOMÚN;Ñ\n".encode("latin-1"))
     assert rows(csv_folder.read_csv_folder(spark, str(tmp_path), "ISO-8859-1")) == [("COMÚN", "Ñ")]

@@ -9,19 +9,27 @@ def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def exact_sum(measure: str | Column) -> Column:
-    """Sum of a double measure, exact to six decimals and independent of partition order.
+#: Doubles below this are summed exactly: two thousand million of them fit a long.
+EXACT_LIMIT = float(1 << 32)
 
-    Whole units and millionths are summed as two longs, which costs the same as a double sum, and are
-    put together once per group. Two groupings of the same rows therefore always reconcile.
+
+def exact_sum(measure: str | Column, digits: int = 6) -> Column:
+    """Sum of a double measure, exact to ``digits`` decimals and independent of partition order.
+
+    Whole units and the decimals are summed as two longs, which costs the same as a double sum, and are
+    put together once per group. Two groupings of the same rows therefore always reconcile. Values beyond
+    ``EXACT_LIMIT``, infinities and NaN are summed as doubles, with the result a plain sum would have.
     """
-    value = _col(measure).cast("double")
+    every = _col(measure).cast("double")
+    small = F.abs(every) < EXACT_LIMIT
+    value = F.when(small, every)
     whole = F.floor(value)
-    millionths = F.rint((value - whole) * F.lit(1_000_000)).cast("bigint")
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(millionths).cast("decimal(20,0)") * F.lit(
-        "0.000001"
-    ).cast("decimal(7,6)")
-    return total.cast("double")
+    decimals = F.rint((value - whole) * F.lit(10.0 ** digits)).cast("bigint")
+    total = F.sum(whole).cast("decimal(20,0)") + F.sum(decimals).cast("decimal(20,0)") * F.lit(
+        f"{10.0 ** -digits:.{digits}f}"
+    ).cast(f"decimal({digits + 1},{digits})")
+    rest = F.sum(F.when(~small, every))
+    return F.when(rest.isNull(), total.cast("double")).otherwise(F.coalesce(total.cast("double"), F.lit(0.0)) + rest)
 
 
 def exact_avg(measure: str | Column) -> Column:

@@ -14,8 +14,12 @@ BYTE_ORDER_MARKS = ("\ufeff", "ï»¿")
 
 
 def strip(value: Column) -> Column:
-    """Remove every kind of whitespace at both ends (``trim`` removes blanks only)."""
-    return F.btrim(value, F.lit(WHITESPACE))
+    """Remove every kind of whitespace at both ends (``trim`` removes blanks only).
+
+    Looking for a set of characters is slow; text that begins and ends with printable ASCII has nothing to remove.
+    """
+    plain = F.substring(value, 1, 1).between("!", "~") & F.substring(value, -1, 1).between("!", "~")
+    return F.when(plain, value).otherwise(F.btrim(value, F.lit(WHITESPACE)))
 
 
 def strip_upper(value: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
-from gridlens.functions.numeric import one_row, share_pct
+from gridlens.functions.numeric import finite_or_null, one_row, share_pct
 from gridlens.functions.text import clean_header, strip_upper
 from gridlens.roles import DEFAULT, Roles
 
@@ -17,7 +17,8 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 
 
 def _number(name: str) -> Column:
-    return F.nullif(F.col(name).try_cast("double"), F.lit(float("nan")))
+    """A finite double; infinities and NaN are no measures."""
+    return finite_or_null(F.col(name).try_cast("double"))
 
 
 def _whole_number(name: str, kind: str) -> Column:
@@ -55,7 +56,7 @@ def _is_outlier(columns: Sequence[str], spread: Column, threshold: float) -> Col
     far = F.lit(False)
     for c in columns:
         mean, std = spread[f"{c}_mean"], spread[f"{c}_std"]
-        far = far | F.coalesce(F.when(std > 0, F.abs(F.col(c) - mean) / std > threshold), F.lit(False))
+        far = far | F.coalesce(F.when((std > 0) & ~F.isnan(std), F.abs(F.col(c) - mean) / std > threshold), F.lit(False))
     return far
 
 

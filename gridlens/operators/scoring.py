@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from gridlens import vocabulary as v
 from gridlens.functions import rules
-from gridlens.functions.numeric import clip, one_row, pct_variation, zscore
+from gridlens.functions.numeric import clip, finite_or_null, one_row, pct_variation, zscore
 from gridlens.operators.ordering import add_sequence
 from gridlens.roles import DEFAULT, Roles
 
@@ -25,7 +25,11 @@ def typed_events(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
     """Give the text columns of an event their types; a value that does not parse becomes null."""
     kinds = {getattr(roles, part): kind for part, kind in WIRE_TYPES.items()}
     kinds |= {c: "timestamp" for c in roles.dates}
-    return df.withColumns({c: F.col(c).try_cast(kind) for c, kind in kinds.items() if c in df.columns})
+    def typed(name: str, kind: str) -> Column:
+        value = F.col(name).try_cast(kind)
+        return finite_or_null(value) if kind == "double" else value
+
+    return df.withColumns({c: typed(c, kind) for c, kind in kinds.items() if c in df.columns})
 
 
 def parse_event(messages: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
@@ -135,7 +139,11 @@ def conform_anomaly_fact(df: DataFrame, id_keys: Sequence[str] = ("nro_doc_fac",
                          critical: float = v.CRITICAL_KWH, detected_at: Column | None = None) -> DataFrame:
     """The seventeen published columns in order, from whatever subset a source delivers."""
     df = df.toDF(*[c.lower() for c in df.columns])
-    df = df.withColumnsRenamed({"consumo": "consumo_actual", "importe": "importe_actual"})
+    for short, full in (("consumo", "consumo_actual"), ("importe", "importe_actual")):
+        if short in df.columns and full in df.columns:  # the full name wins, the other fills its gaps
+            df = df.withColumn(full, F.coalesce(full, short)).drop(short)
+        else:
+            df = df.withColumnRenamed(short, full)
     present = set(df.columns)
 
     def number(name: str, default: float | None = None) -> Column:

@@ -51,10 +51,11 @@ def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def global_kpis(joined: DataFrame, roles: Roles = DEFAULT, approximate_documents: float | None = None) -> DataFrame:
     """Eight indicators as rows (indicador, valor)."""
     consumption, amount = roles.measures
-    documents = (
+    # Counted on its own: in one aggregate with the sums, every document would be shuffled with all of them.
+    documents = joined.agg(
         F.approx_count_distinct(roles.document, approximate_documents)
         if approximate_documents else F.countDistinct(roles.document)
-    )
+    ).scalar()
     spread = one_row(spread_of(joined, roles.measures))
     spreads = spread[f"{consumption}_std"], spread[f"{amount}_std"]
     far = [
@@ -63,7 +64,6 @@ def global_kpis(joined: DataFrame, roles: Roles = DEFAULT, approximate_documents
     totals = joined.agg(
         exact_sum(amount).alias("importe"),
         exact_sum(consumption).alias("consumo"),
-        documents.alias("facturas"),
         exact_avg(amount).alias("ticket"),
         exact_avg(consumption).alias("consumo_medio"),
         F.count("*").alias("registros"),
@@ -72,7 +72,7 @@ def global_kpis(joined: DataFrame, roles: Roles = DEFAULT, approximate_documents
     indicators = {
         "facturacion_total_soles": F.round("importe", 2),
         "consumo_total_kwh": F.round("consumo", 2),
-        "total_facturas": F.col("facturas"),
+        "total_facturas": documents,
         "ticket_promedio": F.round("ticket", 2),
         "consumo_promedio_global": F.round("consumo_medio", 2),
         "total_registros": F.col("registros"),

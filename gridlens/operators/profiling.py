@@ -16,6 +16,7 @@ from gridlens.session import settle
 PERCENTILES = {0.01: "p1", 0.25: "p25", 0.5: "p50", 0.75: "p75", 0.99: "p99"}
 QUARTILES = {0.25: "q1", 0.5: "mediana", 0.75: "q3"}
 MARGIN = "All"
+OTHER = "(other)"
 
 
 def usable_measures(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
@@ -122,10 +123,25 @@ def crosstab_margins(df: DataFrame, rows: str, columns: str) -> DataFrame:
 
 
 def crosstab_wide(df: DataFrame, rows: str, columns: str, values: Sequence[str] | None = None) -> DataFrame:
-    """The same table with one column per value; pairs that never occur count 0."""
-    long = crosstab_margins(df, rows, columns)
-    pivot = long.groupBy(rows).pivot(columns, [*values, MARGIN]) if values else long.groupBy(rows).pivot(columns)
-    return pivot.agg(F.first("cantidad")).na.fill(0).orderBy(F.col(rows) == MARGIN, rows)
+    """The same table with one column per value and the margins last; pairs that never occur count 0.
+
+    Margins are told by the grouping flags, so a value named like the margin keeps its own row. Without ``values`` the
+    columns are found by counting them; with ``values`` every other value is counted in a column ``OTHER``, so that
+    the columns always add up to the margin.
+    """
+    pairs = (
+        df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+        .groupBy(F.col(rows).cast("string").alias("_r"), F.col(columns).cast("string").alias("_c")).agg(F.count("*").alias("_n"))
+    )
+    listed = list(values) if values else [r[0] for r in pairs.select("_c").distinct().orderBy("_c").collect()]
+    shown = F.col("_c").isin(listed)
+    counts = [F.coalesce(F.sum(F.when(F.col("_c") == v, F.col("_n"))), F.lit(0)).alias(v) for v in listed]
+    if values:
+        counts.append(F.coalesce(F.sum(F.when(~shown, F.col("_n"))), F.lit(0)).alias(OTHER))
+    wide = pairs.rollup("_r").agg(F.grouping("_r").alias("_margin"), *counts, F.sum("_n").alias(MARGIN))
+    names = [*listed, *([OTHER] if values else []), MARGIN]
+    label = F.when(F.col("_margin") == 1, F.lit(MARGIN)).otherwise(F.col("_r"))
+    return wide.orderBy("_margin", "_r").select(label.alias(rows), *[F.col(f"`{n}`") for n in names])
 
 
 def histogram_capped(df: DataFrame, column: str, bins: int = 80, cap_at: float = 0.99) -> DataFrame:

@@ -203,8 +203,13 @@ def top_districts_by_mean_z(fact: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
+def _total_order(df: DataFrame, order_by: str) -> list[str]:
+    """Repeated events share an id; the other columns then decide which row comes first."""
+    return [order_by, *[c for c in df.columns if c != order_by]]
+
+
 def zscore_sample(fact: DataFrame, k: int = 200, order_by: str = "id_anomalia") -> DataFrame:
-    return fact.orderBy(order_by).limit(k).select("distrito", "zscore_consumo")
+    return fact.orderBy(*_total_order(fact, order_by)).limit(k).select("distrito", "zscore_consumo")
 
 
 def json_safe(df: DataFrame) -> DataFrame:
@@ -215,7 +220,7 @@ def json_safe(df: DataFrame) -> DataFrame:
 
 def anomaly_feed(fact: DataFrame, k: int = 500, order_by: str = "id_anomalia") -> DataFrame:
     """The first extreme rows, ready for JSON."""
-    return json_safe(fact.filter(_extreme()).orderBy(order_by).limit(k))
+    return json_safe(fact.filter(_extreme()).orderBy(*_total_order(fact, order_by)).limit(k))
 
 
 def monthly_mean_trend(fact: DataFrame, period: str = "periodo", consumption: str = "consumo_actual",

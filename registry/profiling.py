@@ -88,7 +88,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     f'count(*) FILTER (WHERE CARTERA = \'{s}\') AS "{s}"' for s in SEGMENTS)
     + ', count(*) AS "All" FROM invoices GROUP BY ROLLUP (TARIFA)'))
 def _(spark, folder):
-    return profiling.crosstab_wide(views.invoices(spark, folder), ROLES.tariff, ROLES.portfolio, SEGMENTS)
+    return profiling.crosstab_wide(views.invoices(spark, folder), ROLES.tariff, ROLES.portfolio)
 
 
 @check("histogram_capped", using("readings", body="""@@""").replace("\n@@", f""",

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,19 +54,19 @@ def build_session(app_name: str = "gridlens", master: str | None = None, **setti
     return tune(builder.getOrCreate())
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only for a local master."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-        named = _local_folder()
-    return named.rstrip("/")
+_named: list[str] = []
+
 
+def use_folder(path: str) -> None:
+    """The folder for written intermediate tables where the session names none, as in tests."""
+    _named[:] = [path]
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="gridlens-")
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; else the one given to ``use_folder``, else a folder in
+    the warehouse, which every executor reaches too."""
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    return (named or (_named[0] if _named else f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -91,18 +91,20 @@ def test_settled_tables_survive_and_keep_their_schema(spark):
     assert kept.inputFiles()[0].replace("file://", "").startswith(session.shared_folder(spark).replace("file:", ""))
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
-    class Conf:
-        def get(self, key, default=None):
-            return default
-
+def test_shared_folder_is_the_named_one():
     class Session:
-        conf = Conf()
-
-        class sparkContext:
-            master = "spark://somewhere:7077"
-
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(Session())
-    Session.sparkContext.master = "local[4]"
-    assert session.shared_folder(Session()) == session.shared_folder(Session())
+        class conf:
+            settings = {"spark.sql.warehouse.dir": "file:/warehouse"}
+
+            @classmethod
+            def get(cls, key, default=None):
+                return cls.settings.get(key, default)
+
+    kept = session._named[:]
+    session._named.clear()
+    assert session.shared_folder(Session()) == "file:/warehouse/scratch"
+    session.use_folder("/given/")
+    assert session.shared_folder(Session()) == "/given"
+    Session.conf.settings["spark.checkpoint.dir"] = "hdfs://shared/dir/"
+    assert session.shared_folder(Session()) == "hdfs://shared/dir"
+    session._named[:] = kept

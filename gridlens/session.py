@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,15 +59,17 @@ _named: list[str] = []
 
 
 def use_folder(path: str) -> None:
-    """The folder for written intermediate tables where the session names none, as in tests."""
+    """The folder for written intermediate tables of a local session that names none, as in tests."""
     _named[:] = [path]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; else the one given to ``use_folder``, else a folder in
-    the warehouse, which every executor reaches too."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Where it names none: a folder in the warehouse, which
+    every executor reaches too, or in one process the one given to ``use_folder``."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)
-    return (named or (_named[0] if _named else f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch")).rstrip("/")
+    if not named and _named and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        named = _named[0]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

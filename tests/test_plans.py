@@ -100,11 +100,16 @@ def test_shared_folder_is_the_named_one():
             def get(cls, key, default=None):
                 return cls.settings.get(key, default)
 
+        class sparkContext:
+            master = "local[4]"
+
     kept = session._named[:]
     session._named.clear()
     assert session.shared_folder(Session()) == "file:/warehouse/scratch"
     session.use_folder("/given/")
     assert session.shared_folder(Session()) == "/given"
+    Session.sparkContext.master = "spark://somewhere:7077"
+    assert session.shared_folder(Session()) == "file:/warehouse/scratch"
     Session.conf.settings["spark.checkpoint.dir"] = "hdfs://shared/dir/"
     assert session.shared_folder(Session()) == "hdfs://shared/dir"
     session._named[:] = kept

@@ -23,15 +23,19 @@ def anomalies(events: DataFrame, stats: DataFrame, dim: DataFrame | None = None,
     return scoring.conform_anomaly_fact(classified, critical=critical)
 
 
-def start_live(records: DataFrame, stats: DataFrame, dim: DataFrame, out: str, checkpoints: str,
+def start_live(records: DataFrame, stats: DataFrame, dim: DataFrame | None, out: str, checkpoints: str,
                roles: Roles = DEFAULT, critical: float = v.CRITICAL_KWH, hourly_limit: float = v.HOURLY_KWH,
                alert_servers: str | None = None, alert_topic: str | None = None,
                trigger: dict | None = None, keep: int | None = None) -> list[StreamingQuery]:
     """Anomalies to Parquet, alerts to a table (all of them unless ``keep`` says how many) and, when a broker is
-    given, to a topic."""
+    given, to a topic.
+
+    Events carry their location. Give ``dim`` only where it has to come from a table instead: both streams then join it
+    in every micro-batch (see ``write_bucketed``).
+    """
     events = scoring.parse_event(records, roles)
     scored = anomalies(events, stats, dim, roles, critical=critical)
-    alerts = hourly_alerts(scoring.add_location(events, dim, roles), roles, hourly_limit)
+    alerts = hourly_alerts(events if dim is None else scoring.add_location(events, dim, roles), roles, hourly_limit)
     started = [
         queries.stream_to_parquet(scored, f"{out}/anomalies", f"{checkpoints}/anomalies", trigger),
         queries.upsert_alerts(alerts, f"{out}/alerts", f"{checkpoints}/alerts", keep, trigger),

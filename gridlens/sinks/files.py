@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
@@ -50,6 +50,19 @@ def write_batch_tables(tables: dict[str, DataFrame], folder: str, as_parquet: Co
             write_csv(table, f"{folder}/{name}.csv")
 
 
+def read_batch_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
+                      as_parquet: Collection[str]) -> dict[str, DataFrame]:
+    """What ``write_batch_tables`` wrote, with the same types."""
+    found = {}
+    for name, table in tables.items():
+        reader = spark.read.schema(table.schema)
+        if name in as_parquet:
+            found[name] = reader.parquet(f"{folder}/{name}")
+        else:
+            found[name] = reader.option("header", True).csv(f"{folder}/{name}.csv")
+    return found
+
+
 def export_dashboard_tables(tables: dict[str, DataFrame], folder: str) -> None:
     for name, table in tables.items():
         write_report(table, f"{folder}/{name}")

@@ -160,6 +160,17 @@ def test_live_and_stored_events_give_the_same_anomalies(spark, consumption, tmp_
         (h, d, t) for h in ("10", "11", "12") for d, t in (("X", 90.0), ("Y", 120.0)) if t > 100)
 
 
+def test_live_without_a_dimension(spark, consumption, tmp_path):
+    feed, _, stats = consumption
+    out, state = str(tmp_path / "out"), str(tmp_path / "c")
+    for query in start_live(_records(feed.stream()), stats, None, out, state, hourly_limit=0, trigger=queries.DRAIN):
+        queries.drain(query)
+    events = scoring.parse_event(_records(spark.read.schema(EVENT).json(feed.folder)))
+    live = spark.read.parquet(f"{out}/anomalies").drop("fecha_deteccion")
+    assert sorted(rows(live), key=str) == sorted(rows(anomalies(events, stats).drop("fecha_deteccion")), key=str)
+    assert queries.stored_alerts(spark, f"{out}/alerts").agg(F.sum("total_eventos")).first()[0] == events.count()
+
+
 def test_classifying_inside_the_batch_callback(spark, consumption, tmp_path):
     feed, dim, stats = consumption
     enriched = scoring.enrich_events(scoring.parse_event(_records(feed.stream())), stats, dim)

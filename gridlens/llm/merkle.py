@@ -140,3 +140,39 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256", own["root"].alias("fingerprint"), changed["root"].alias("edited_fingerprint"),
         likeness(own, changed).alias("near_edited"), likeness(own, other).alias("near_next"),
         F.size(own["sections"]).alias("n_sections"), F.size(edits(own, changed)).alias("n_changed_paragraphs"))
+
+
+def sql() -> str:
+    """DuckDB SQL for ``fingerprints``."""
+    return rf"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    n AS (
+        SELECT doc_id, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS other, length(text) // 3 AS k
+        FROM t WINDOW w AS (ORDER BY doc_id DESC NULLS LAST)),
+    e AS (SELECT *, substr(text, 1, length(text) - k) || substr(other, 1, k) AS edited FROM n),
+    every AS (
+        SELECT doc_id, 'own' AS part, text AS s FROM e UNION ALL SELECT doc_id, 'edited', edited FROM e
+        UNION ALL SELECT doc_id, 'other', other FROM e),
+    leaves AS (
+        SELECT doc_id, part, list_transform(string_split(s, chr(10)), lambda p: list_transform(
+            regexp_extract_all(p, '[^.!?]{{1,{LEAF}}}[.!?]*|[.!?]+'), lambda x: md5(x))) AS paragraphs FROM every),
+    digests AS (
+        SELECT doc_id, part, list_distinct(flatten(paragraphs)) AS leaves,
+               list_transform(paragraphs, lambda p: md5(array_to_string(p, ''))) AS digests FROM leaves),
+    runs AS (
+        SELECT *, string_split(regexp_replace(array_to_string(digests, ' '), '([01]) ', '\1|', 'g'), '|') AS runs FROM digests),
+    trees AS (
+        SELECT *, list_transform(runs, lambda r: md5(r)) AS sections,
+               md5(array_to_string(list_transform(runs, lambda r: md5(r)), '')) AS root FROM runs)
+    SELECT e.doc_id, CAST(length(e.text) AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256, a.root AS fingerprint,
+           b.root AS edited_fingerprint,
+           CASE WHEN a.root = b.root OR len(a.leaves) + len(b.leaves) = 0 THEN 1.0
+                ELSE 2.0 * len(list_intersect(a.leaves, b.leaves)) / (len(a.leaves) + len(b.leaves)) END AS near_edited,
+           CASE WHEN a.root = c.root OR len(a.leaves) + len(c.leaves) = 0 THEN 1.0
+                ELSE 2.0 * len(list_intersect(a.leaves, c.leaves)) / (len(a.leaves) + len(c.leaves)) END AS near_next,
+           CAST(len(a.sections) AS INTEGER) AS n_sections,
+           CAST(CASE WHEN a.root = b.root THEN 0 ELSE list_sum(list_transform(a.runs, lambda r:
+               CASE WHEN list_contains(b.sections, md5(r)) THEN 0 ELSE len(list_filter(string_split(r, ' '),
+                    lambda d: NOT list_contains(b.digests, d))) END)) END AS INTEGER) AS n_changed_paragraphs
+    FROM e JOIN trees a ON a.doc_id = e.doc_id AND a.part = 'own' JOIN trees b ON b.doc_id = e.doc_id AND b.part = 'edited'
+    JOIN trees c ON c.doc_id = e.doc_id AND c.part = 'other'"""

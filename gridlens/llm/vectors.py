@@ -218,3 +218,21 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embe
 def vector_components(rows: DataFrame) -> DataFrame:
     """The contract's rows."""
     return near_vectors(rows).withColumnRenamed("id", "vec_id")
+
+
+def sql() -> str:
+    """DuckDB SQL for ``vector_components``: every pair of a label."""
+    return f"""
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= {COSINE}),
+    reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+    least AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+    degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.y, vec_id)) AS component_id,
+           vec_id = least(vec_id, coalesce(least.y, vec_id)) AS kept
+    FROM embeddings LEFT JOIN least ON least.x = vec_id LEFT JOIN degree ON degree.x = vec_id"""

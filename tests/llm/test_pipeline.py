@@ -1,9 +1,11 @@
+import duckdb
 import public_tokenizers
+import pytest
 import tiktoken
 
 import corpus_pipeline
 from gridlens.llm import byte_pairs, lines, mixing, quality, simhash
-from gridlens.llm.registered import QUERIES
+from gridlens.llm.registered import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -50,3 +52,17 @@ def test_without_operators_the_registry_stands(tmp_path):
     code = "import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') and n[2].isdigit() for n in e.queries()), 'pipeline' in e.queries())"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0 and out.stdout.split()[1:] == ["False", "False"], out.stderr[-500:]
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_its_sql(spark, name):
+    connection = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
+    want = connection.execute(ORACLES[name])
+    columns = sorted(c[0] for c in want.description)
+    got = QUERIES[name](spark, FOLDER)
+    assert sorted(got.columns) == columns
+    place = [[c[0] for c in want.description].index(c) for c in columns]
+    assert sorted(map(repr, map(tuple, got.select(*columns).collect()))) == sorted(
+        repr(tuple(row[i] for i in place)) for row in want.fetchall())

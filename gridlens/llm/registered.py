@@ -18,19 +18,22 @@ def _over(table: str, query: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    "op8_line_dedup": _over("documents", lines.document_lines),
-    "op5_merkle_tree": _over("documents", merkle.fingerprints),
-    "op6_product_quantisation": _over("embeddings", vectors.vector_components),
-    "op9_suffix_tree": _over("documents", suffix_tree.document_scores),
-    "op3_whole_tokens": _over("documents", token_counts.document_counts),
     "op1_byte_bpe": _over("documents", byte_pairs.round_trip),
+    "op2_curriculum_mix": _over("documents", mixing.mix_sizes),
+    "op3_whole_tokens": _over("documents", token_counts.document_counts),
     "op4_fourier_quality": lambda spark, folder: quality.score_documents(
         read(tune(spark), folder, "documents"), read(spark, folder, "labels")),
-    "op10_repair_ids": lambda spark, folder: repair.stored_documents(tune(spark), folder),
-    "op2_curriculum_mix": _over("documents", mixing.mix_sizes),
+    "op5_merkle_tree": _over("documents", merkle.fingerprints),
+    "op6_product_quantisation": _over("embeddings", vectors.vector_components),
     "op7_simhash_blocks": _over("documents", simhash.document_components),
+    "op8_line_dedup": _over("documents", lines.document_lines),
+    "op9_suffix_tree": _over("documents", suffix_tree.document_scores),
+    "op10_repair_ids": lambda spark, folder: repair.stored_documents(tune(spark), folder),
 }
 
 ORACLES: dict[str, str] = {
     "op2_curriculum_mix": mixing.sql(),
+    "op5_merkle_tree": merkle.sql(),
+    "op6_product_quantisation": vectors.sql(),
+    "op8_line_dedup": lines.sql(),
 }

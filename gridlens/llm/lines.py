@@ -40,6 +40,11 @@ def words_of(line: str | Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(line, BLANK), ""))
 
 
+def hashes_of(line: str | Column) -> Column:
+    """Hashes of all words of a line, the hash of the empty string for blanks at its ends."""
+    return F.transform(F.split(line, BLANK), lambda w: F.xxhash64(w))
+
+
 def lines_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """doc, h (hash of the text), line (number from 0), s (the line)."""
     rows = docs.select(F.col(id_column).alias("doc"), whole(text).alias("t"))
@@ -47,11 +52,10 @@ def lines_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def rarity(lines: DataFrame) -> Column:
-    """One-row subquery: in how many lines the words of each counter stand."""
+    """One-row subquery: how often the words of each counter stand in all lines."""
     spark = lines.sparkSession
     place = F.col("w").bitwiseAND(F.lit(COUNTERS - 1))
-    hashes = F.transform(words_of("s"), lambda w: F.xxhash64(w))
-    counted = lines.select(F.explode(hashes).alias("w")).groupBy(
+    counted = lines.select(F.explode(hashes_of("s")).alias("w")).groupBy(
         place.alias("i")).agg(F.count("*").alias("n"))
     every = counted.union(spark.range(COUNTERS).select("id", F.lit(0).cast("long"))).groupBy("i").agg(F.sum("n").alias("n"))
     packed = F.shiftleft(F.col("i"), 32).bitwiseOR(F.least(F.col("n"), F.lit((1 << 19) - 1)))
@@ -60,13 +64,12 @@ def rarity(lines: DataFrame) -> Column:
     return kept.agg(counts).scalar()
 
 
-def ordered_words(words: Column, counts: Column) -> Column:
-    """Words as longs, rarest first: 20 bits of their counter, then 43 of their hash."""
+def ordered_words(hashes: Column, counts: Column) -> Column:
+    """Different words as longs, rarest first: 20 bits of their counter, then 43 of their hash."""
     def key(w: Column) -> Column:
         n = F.get(counts, w.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long")
         return F.shiftleft(n, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(w, 64 - _HASH_BITS))
 
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
     return F.sort_array(F.transform(hashes, key))
 
 
@@ -98,12 +101,13 @@ def _unpacked(packed: Column) -> tuple[Column, Column]:
 
 def line_sets(lines: DataFrame, least_words: int = 1) -> DataFrame:
     """doc, h, line, n, prefix (hashes of the rarest words), parity, a and b (digests of the set) of each line; stored."""
-    worded = lines.select("doc", "h", "line", words_of("s").alias("words")).filter(F.size("words") >= least_words)
+    hashes = F.array_distinct(F.array_remove(hashes_of("s"), F.xxhash64(F.lit(""))))
+    worded = lines.select("doc", "h", "line", hashes.alias("words")).filter(F.size("words") >= least_words)
     keyed = worded.withColumn("counts", rarity(lines)).select("doc", "h", "line", F.get(F.transform(
         F.array(F.col("counts")), lambda t: ordered_words(F.col("words"), t)), F.lit(0)).alias("set"))
     n = F.size("set")
     parity = F.aggregate("set", F.lit(0).cast("long"), lambda p, w: p.bitwiseXOR(one_bit(w)))
-    prefix = F.transform(F.slice("set", F.lit(1), n - least_common(n) + 1), lambda w: F.hash(w))
+    prefix = F.transform(F.slice("set", F.lit(1), n - least_common(n) + 1), lambda w: w.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     return stored(keyed.select("doc", "h", "line", n.alias("n"), prefix.alias("prefix"), parity.alias("parity"),
                                F.xxhash64("set").alias("a"), F.hash("set").alias("b")), "lines")
 
@@ -139,6 +143,18 @@ def _in_bitmap(table: Column, key: Column) -> Column:
 def verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
     """c of the later classes of ``pairs`` (later, earlier: class numbers) that are similar, by their words."""
     pairs = stored(pairs.distinct(), "line-pairs")
+    # Nearly every pair that comes so far is similar: one for each later class settles most of them.
+    first = pairs.groupBy("later").agg(F.min("earlier").alias("earlier"))
+    found = stored(_similar(first, classes, lines), "line-removed")
+    rest = stored(pairs.join(found.withColumnRenamed("c", "later"), "later", "left_anti").join(
+        first, ["later", "earlier"], "left_anti"), "line-pairs")
+    if rest.isEmpty():
+        return found
+    return found.union(stored(_similar(rest, classes, lines), "line-removed"))
+
+
+def _similar(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
+    """c of the later classes of the pairs that are similar."""
     taking_part = pairs.select("later").union(pairs.select("earlier")).distinct().withColumnRenamed("later", "c")
     places = stored(classes.join(taking_part, "c").select("c", "place.doc", "place.h", "place.line"), "line-places")
     at = F.xxhash64("h", "line")
@@ -150,7 +166,7 @@ def verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFram
         sets.select(F.col("c").alias("earlier"), F.col("words").alias("w2")), "earlier")
     common = F.size(F.array_intersect("w1", "w2"))
     good = common * b >= (F.size("w1") + F.size("w2") - common) * a
-    return stored(both.filter(good).select(F.col("later").alias("c")).distinct(), "line-removed")
+    return both.filter(good).select(F.col("later").alias("c")).distinct()
 
 
 def later_matches(classes: DataFrame, lines: DataFrame) -> DataFrame:
@@ -167,7 +183,7 @@ def later_matches(classes: DataFrame, lines: DataFrame) -> DataFrame:
         F.shiftleft(F.col("p").cast("long"), 1)).bitwiseOR(F.col("done").isNull().cast("long"))
     flagged = classes.join(settled.withColumn("done", F.lit(True)), "c", "left")
     every = flagged.select("c", "n", "parity", "done", F.posexplode("prefix").alias("p", "w")).select(
-        "w", "c", packed.alias("q"), "parity")
+        "w", "c", packed.alias("q"), "parity").filter("w is not null and c is not null and q is not null and parity is not null")
     (n1, p1), (n2, p2) = _unpacked(F.col("x.q")), _unpacked(F.col("y.q"))
     before = F.when(F.col("x.q").bitwiseAND(F.lit(1)) == 1, F.col("x.c")).otherwise(F.lit(-1))
     pairs = every.alias("x").join(every.alias("y"), (F.col("x.w") == F.col("y.w")) & (F.col("y.c") < before) & could_match(
@@ -214,3 +230,31 @@ def document_lines(docs: DataFrame) -> DataFrame:
     joined = own.join(removed, (F.col("_h") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("doc")), "left")
     gone = F.coalesce("removed", F.array().cast("array<int>"))
     return joined.select("doc_id", "n_lines", F.size(gone).alias("n_removed"), gone.alias("removed"))
+
+
+def sql() -> str:
+    """DuckDB SQL for ``document_lines``."""
+    a, b = SIMILARITY
+    return rf"""
+    WITH cut AS (
+        SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+    lines AS (
+        SELECT doc_id, i - 1 AS line, list_distinct(regexp_extract_all(parts[i], '[^\x20\x09-\x0D]+')) AS words
+        FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)),
+    sets AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, line) AS c, *, len(words) AS n FROM lines WHERE len(words) > 0),
+    tokens AS (SELECT c, n, unnest(words) AS w FROM sets),
+    counted AS (SELECT w, count(*) AS k FROM tokens GROUP BY w),
+    ranked AS (SELECT c, n, w, row_number() OVER (PARTITION BY c ORDER BY k, w) AS place FROM tokens JOIN counted USING (w)),
+    prefix AS (SELECT c, n, w FROM ranked WHERE place <= n - CAST(ceil(n * {a} / {b}.0) AS BIGINT) + 1),
+    pairs AS (
+        SELECT DISTINCT x.c AS later, y.c AS earlier FROM prefix x JOIN prefix y
+        ON x.w = y.w AND y.c < x.c AND y.n * {b} >= x.n * {a} AND x.n * {b} >= y.n * {a}),
+    gone AS (
+        SELECT DISTINCT later FROM (
+            SELECT later, x.n + y.n AS both_n, len(list_intersect(x.words, y.words)) AS common
+            FROM pairs JOIN sets x ON x.c = later JOIN sets y ON y.c = earlier)
+        WHERE common * {b} >= (both_n - common) * {a}),
+    removed AS (SELECT doc_id, list(CAST(line AS INTEGER) ORDER BY line) AS removed FROM sets JOIN gone ON c = later GROUP BY doc_id)
+    SELECT cut.doc_id, CAST(len(parts) AS INTEGER) AS n_lines, CAST(coalesce(len(removed), 0) AS INTEGER) AS n_removed,
+           coalesce(removed, CAST([] AS INTEGER[])) AS removed
+    FROM cut LEFT JOIN removed ON cut.doc_id IS NOT DISTINCT FROM removed.doc_id"""

@@ -15,6 +15,8 @@ from gridlens.operators.events import cap_rows_per_source
 
 # Candidate separators; on equal counts the earlier one wins.
 SEPARATORS = (";", ",", "\t")
+# Fixed value: the encoding raw files come in. A UTF-8 byte-order mark is taken off headers under it too.
+ENCODING = "ISO-8859-1"
 NO_SEPARATOR = "\u0001"
 OVERFLOW = "_overflow"
 SOURCE = "_source"
@@ -29,7 +31,7 @@ def _lines(spark: SparkSession, path: str | Sequence[str], encoding: str) -> Dat
     )
 
 
-def file_layouts(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
+def file_layouts(spark: SparkSession, path: str | Sequence[str], encoding: str = ENCODING,
                  num_lines: int = 5) -> DataFrame:
     """Header line and separator of each file, judged by its first lines.
 
@@ -58,7 +60,7 @@ def file_layouts(spark: SparkSession, path: str | Sequence[str], encoding: str =
     return counts.select("file", "header", separator.alias("separator"))
 
 
-def detect_separator(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
+def detect_separator(spark: SparkSession, path: str | Sequence[str], encoding: str = ENCODING,
                      num_lines: int = 5) -> DataFrame:
     return file_layouts(spark, path, encoding, num_lines).select("file", "separator")
 
@@ -104,7 +106,7 @@ def _read_known(spark: SparkSession, files: Sequence[str], columns: Sequence[str
     return joined.select(*[cell(c) for c in columns], SOURCE, F.col(OVERFLOW).isNotNull().alias(MALFORMED))
 
 
-def read_csv_folder(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8",
+def read_csv_folder(spark: SparkSession, path: str | Sequence[str], encoding: str = ENCODING,
                     separator: str | None = None, columns: Sequence[str] | None = None,
                     max_per_file: int | None = None, max_total: int | None = None,
                     keep_source: bool = False, first_files: int | None = None,
@@ -145,6 +147,6 @@ def _header_names(header: str, separator: str) -> list[str]:
 
 
 def sample_first_files(spark: SparkSession, path: str, rows: int = 200_000, files: int = 3,
-                       encoding: str = "UTF-8") -> DataFrame:
+                       encoding: str = ENCODING) -> DataFrame:
     """The first files by name, ``rows`` spread evenly over them."""
     return read_csv_folder(spark, path, encoding, first_files=files, max_total=rows)

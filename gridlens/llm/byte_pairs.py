@@ -9,7 +9,8 @@ runs where a piece stands only for the others. Documents are never shuffled.
 Pieces of more than ``LONG`` bytes (no blank, digit or sign for hundreds of letters) are merged with a heap instead,
 because a fold over an array costs the square of its length.
 
-Decoding maps ids to the bytes of their tokens and concatenates these.
+Decoding maps ids to the bytes of their tokens and concatenates these (in Arrow batches: an array of a few hundred
+million short strings costs the JVM ten times as much).
 
 Defined cases: null and empty texts give no ids and decode to the empty string; equal rows give equal results; an empty
 table gives an empty result; very long texts and pieces are encoded whole; columns that clash with helper columns stay.
@@ -20,7 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -29,12 +30,12 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from gridlens.llm.common import fresh, stored, whole
 
-#: Most pieces whose ids are looked up instead of merged anew, and buckets of that table.
-HEAD, HEAD_BUCKETS = 1 << 19, 1 << 18
+#: Most pieces whose ids are looked up instead of merged anew, and slots of that table.
+HEAD, HEAD_SLOTS = 1 << 19, 1 << 20
 PAIR_BUCKETS = 1 << 17
 #: Bytes from which a piece is merged with a heap.
 LONG = 256
@@ -153,12 +154,12 @@ def pair_table(spark: SparkSession, vocabulary: Vocabulary) -> Column:
 
 def merge_tables(spark: SparkSession, vocabulary: Vocabulary) -> Column:
     """What ``fold`` reads: the pairs and the ids of the 256 bytes."""
-    return F.struct(pair_table(spark, vocabulary).alias("pairs"), F.array(*map(F.lit, vocabulary.byte_ids)).alias("bytes"))
+    return F.struct(pair_table(spark, vocabulary).alias("pairs"), F.array(*[F.lit(i).cast("long") for i in vocabulary.byte_ids]).alias("bytes"))
 
 
 def find(table: Column, buckets: int, key: Column) -> Column:
-    """The value of ``key`` in an array of small maps, or null."""
-    return F.get(table, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))[key]
+    """The value of ``key`` in an array of small maps (a power of two), or null."""
+    return F.get(table, F.xxhash64(key).bitwiseAND(F.lit(buckets - 1)).cast("int"))[key]
 
 
 def let(value: Column, body) -> Column:
@@ -166,33 +167,40 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: A token and the rank of the merge with its right neighbour in one long: rank << 17 | token.
+_TOKEN_BITS = 17
+_NO_MERGE = 1 << 60
+
+
 def fold(piece: Column, tables: Column) -> Column:
     """Ids of a piece: merges in order of rank, leftmost first. Each round looks up the two new neighbours only."""
-    def rank(a: Column, b: Column) -> Column:
-        return find(tables["pairs"], PAIR_BUCKETS, a.cast("long") * 65536 + b)
+    def token(entry: Column) -> Column:
+        return entry.bitwiseAND(F.lit((1 << _TOKEN_BITS) - 1))
 
-    def merged(state: Column, _: Column) -> Column:
-        ids, ranks = state["ids"], state["ranks"]
+    def rank(entry: Column) -> Column:
+        return F.shiftright(entry, _TOKEN_BITS)
 
+    def entry(a: Column, b: Column) -> Column:
+        new = find(tables["pairs"], PAIR_BUCKETS, F.shiftleft(a, 16).bitwiseOR(b))
+        return F.coalesce(F.shiftleft(new.cast("long"), _TOKEN_BITS), F.lit(_NO_MERGE)).bitwiseOR(a)
+
+    def merged(state: Column, _: Column) -> Column:
         def at(j: Column) -> Column:
-            new = F.get(ranks, j)
-            left, right = F.get(ids, j - 1), F.get(ids, j + 2)
-            before = F.when(j > 0, F.array(rank(left, new))).otherwise(F.array().cast("array<int>"))
-            return F.struct(
-                F.concat(F.slice(ids, F.lit(1), j), F.array(new), F.slice(ids, j + 3, F.size(ids))).alias("ids"),
-                F.concat(F.slice(ranks, F.lit(1), F.greatest(j - 1, F.lit(0))), before, F.array(rank(new, right)),
-                         F.slice(ranks, j + 3, F.size(ranks))).alias("ranks"))
+            new = rank(F.get(state, j))
+            before = F.concat(F.slice(state, F.lit(1), j - 1), F.array(entry(token(F.get(state, j - 1)), new)))
+            after = F.array(entry(new, token(F.get(state, j + 2))))
+            rest = F.slice(state, j + 3, F.size(state))
+            return F.when(j > 0, F.concat(before, after, rest)).otherwise(F.concat(after, rest))
 
-        best = F.array_position(ranks, F.array_min(ranks)).cast("int") - 1
-        return let(best, lambda j: F.when(j.isNull() | (j < 0), state).otherwise(at(j)))
+        best = F.array_position(F.transform(state, rank), rank(F.array_min(state))).cast("int") - 1
+        return F.when(F.array_min(state) >= _NO_MERGE, state).otherwise(let(best, at))
 
     # Bytes as characters of Latin-1, whose code is the byte.
     characters = F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), "")
     start = F.transform(characters, lambda c: F.get(tables["bytes"], F.ascii(c)))
-    first = let(start, lambda ids: F.struct(
-        ids.alias("ids"), F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), rank).alias("ranks")))
-    rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(piece), F.lit(1)))
-    return F.aggregate(rounds, first, merged, lambda state: state["ids"])
+    first = let(start, lambda ids: F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), entry))
+    rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(piece) - 1, F.lit(1)))
+    return F.aggregate(rounds, first, merged, lambda state: F.transform(state, lambda e: token(e).cast("int")))
 
 
 def long_pieces(found: Column, vocabulary: Vocabulary) -> Column:
@@ -218,16 +226,43 @@ def frequent_pieces(found: DataFrame, column: str, limit: int = HEAD) -> DataFra
     return counts.filter(F.col("n") > cut).select("piece")
 
 
-def head_table(spark: SparkSession, encoded: DataFrame, value: str, buckets: int = HEAD_BUCKETS) -> Column:
-    """(piece, ``value``) rows, bounded in number, as a table for ``find``."""
-    kept = stored(encoded.select("piece", F.col(value).alias("v")), "head")
-    place = F.pmod(F.xxhash64("piece"), F.lit(buckets)).cast("int")
-    maps = kept.groupBy(place.alias("b")).agg(F.map_from_entries(F.collect_list(F.struct("piece", "v"))).alias("m"))
-    kind = maps.schema["m"].dataType
-    every = spark.range(buckets).select(F.col("id").cast("int").alias("b")).join(maps, "b", "left")
-    filled = every.select("b", F.coalesce("m", F.create_map().cast(kind)).alias("m"))
-    in_order = F.array_sort(F.collect_list(F.struct("b", "m")), lambda x, y: x["b"] - y["b"])
-    return filled.agg(F.transform(in_order, lambda s: s["m"])).scalar()
+def head_table(encoded: DataFrame, value: str, slots: int = HEAD_SLOTS) -> Column:
+    """(piece, ``value``) rows, bounded in number, as a table for ``look_up``.
+
+    Cuckoo hashing: a piece lies in one of the two slots that its hash names, so a look-up reads two slots at most. A piece
+    that finds no slot is left out; it is then merged where it stands.
+    """
+    rows = encoded.select("piece", F.col(value).alias("v"), F.xxhash64("piece").alias("h")).toArrow()
+    first = rows["h"].to_numpy() & (slots - 1)
+    second = (rows["h"].to_numpy() >> 32) & (slots - 1)
+    one, two = first.tolist(), second.tolist()
+    held: dict[int, int] = {}
+    for i, slot in enumerate(one):
+        for _ in range(64):
+            other = held.get(slot)
+            held[slot] = i
+            if other is None:
+                break
+            i, slot = other, two[other] if slot == one[other] else one[other]
+    taken = np.full(slots, -1, np.int64)
+    taken[list(held)] = list(held.values())
+    at = pa.array(taken, mask=taken < 0)
+
+    def literal(column: str) -> Column:
+        values = rows[column].combine_chunks().take(at)
+        row = pa.ListArray.from_arrays(pa.array([0, slots], pa.int32()), values)
+        return encoded.sparkSession.createDataFrame(pa.table({column: row})).scalar()
+
+    return F.struct(literal("piece").alias("pieces"), literal("v").alias("values"))
+
+
+def look_up(table: Column, piece: Column, slots: int = HEAD_SLOTS) -> Column:
+    """The value of a piece in a head table, or null."""
+    first = F.xxhash64(piece).bitwiseAND(F.lit(slots - 1)).cast("int")
+    second = F.shiftright(F.xxhash64(piece), 32).bitwiseAND(F.lit(slots - 1)).cast("int")
+    keys, values = table["pieces"], table["values"]
+    return F.when(F.get(keys, first) == piece, F.get(values, first)).when(
+        F.get(keys, second) == piece, F.get(values, second))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", ids: str = "ids",
@@ -240,40 +275,41 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
     cut = docs.select(pieces(whole(text), pattern).alias(found))
     common = frequent_pieces(cut, found, head).withColumn(tables, merges)
     coded = common.select("piece", let(F.col(tables), lambda t: fold(F.col("piece"), t)).alias("ids"))
-    looked_up = F.struct(merges.alias("merges"), head_table(spark, coded, "ids").alias("head"))
+    looked_up = F.struct(merges.alias("merges"), head_table(coded, "ids").alias("head"))
 
     rows = docs.withColumn(found, pieces(whole(text), pattern)).withColumn(far, long_pieces(F.col(found), vocabulary))
 
     def of(piece: Column, t: Column) -> Column:
-        return F.coalesce(find(t["head"], HEAD_BUCKETS, piece), F.when(
+        return F.coalesce(look_up(t["head"], piece), F.when(
             F.octet_length(piece) > LONG, F.col(far)[piece]).otherwise(fold(piece, t["merges"])))
 
     coded = let(F.col(tables), lambda t: F.flatten(F.transform(found, lambda p: of(p, t))))
     return rows.withColumn(tables, looked_up).select(*[docs[c] for c in docs.columns], coded.alias(ids))
 
 
-def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``rows`` with the bytes that the ids stand for. Unknown ids make the result null."""
-    spark = rows.sparkSession
-    tokens, = fresh(rows, "_tokens")
-    digits = spark.createDataFrame(pa.table({"t": pa.array([[t.hex() for t in vocabulary.tokens]])})).scalar()
-    joined = F.unhex(F.array_join(F.transform(ids, lambda i: F.get(tokens, i)), ""))
-    known = F.size(ids) == 0
-    known = known | ((F.array_min(ids) >= 0) & (F.array_max(ids) < len(vocabulary.tokens)))
-    return rows.withColumn(tokens, digits).withColumn(name, F.when(known, joined)).drop(tokens)
-
-
-def little_endian(ids: str, size: int, spark: SparkSession) -> Column:
-    """One-row subquery: the little-endian digits of every id, for ``packed``."""
-    digits = [int(i).to_bytes(4, "little").hex() for i in range(size)]
-    return spark.createDataFrame(pa.table({"d": pa.array([digits])})).scalar()
+def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str = "decoded",
+           packed: str | None = None, keep_ids: bool = True) -> DataFrame:
+    """``rows`` with the bytes that the ids stand for (null for unknown ids); under ``packed`` also the ids themselves as
+    little-endian unsigned 32-bit integers. Without ``keep_ids`` the ids travel one way only."""
+    tokens = vocabulary.tokens
+    kept = [c for c in rows.columns if keep_ids or c != ids]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            joined, written = [], []
+            for scalar in batch.column(batch.schema.get_field_index(ids)):
+                own = scalar.values.to_numpy() if scalar.is_valid else None
+                known = own is not None and (not len(own) or own.min() >= 0 and own.max() < len(tokens))
+                joined.append(b"".join(map(tokens.__getitem__, own.tolist())) if known else None)
+                if packed:
+                    written.append(None if own is None else own.astype("<u4").tobytes())
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept] + [pa.array(joined, pa.binary())]
+            if packed:
+                columns.append(pa.array(written, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, [*kept, name, *([packed] if packed else [])])
 
-def packed(rows: DataFrame, size: int, ids: str = "ids", name: str = "packed") -> DataFrame:
-    """``rows`` with the ids as little-endian unsigned 32-bit integers."""
-    table, = fresh(rows, "_digits")
-    joined = F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))
-    return rows.withColumn(table, little_endian(ids, size, rows.sparkSession)).withColumn(name, joined).drop(table)
+    schema = StructType([rows.schema[c] for c in kept] + [StructField(n, BinaryType()) for n in (name, packed) if n])
+    return rows.mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
@@ -282,6 +318,7 @@ def round_trip(docs: DataFrame) -> DataFrame:
 
     vocabulary = from_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     coded = encode(docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN).drop("text")
-    both = packed(decode(coded, vocabulary), len(vocabulary.tokens))
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = decode(coded, vocabulary, packed="packed", keep_ids=False)
+    return both.select(
+        "doc_id", F.floor(F.octet_length("packed") / 4).cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

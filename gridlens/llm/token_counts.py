@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridlens.llm.byte_pairs import (
-    HEAD, HEAD_BUCKETS, LONG, Vocabulary, find, fold, frequent_pieces, from_merges, head_table, java_pattern, let,
-    long_pieces, merge_tables,
+    HEAD, LONG, Vocabulary, fold, frequent_pieces, from_merges, head_table, java_pattern, let, long_pieces, look_up,
+    merge_tables,
 )
 from gridlens.llm.common import fresh, whole
 
@@ -73,14 +73,14 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, pattern: str, special:
     pieces = docs.select(cut(whole(text), pattern, special).alias(found))
     rest = frequent_pieces(pieces, found, head).join(proved, "piece", "left_anti").withColumn(tables, merges)
     merged = rest.select("piece", let(F.col(tables), lambda t: F.size(fold(F.col("piece"), t))).alias("n"))
-    known = head_table(spark, proved.withColumn("n", F.lit(1)).union(merged), "n")
+    known = head_table(proved.withColumn("n", F.lit(1)).union(merged), "n")
     looked_up = F.struct(merges.alias("merges"), known.alias("known"))
 
     rows = docs.withColumn(found, cut(whole(text), pattern, special))
     rows = rows.withColumn(far, long_pieces(F.col(found), vocabulary)).withColumn(tables, looked_up)
 
     def of(piece: Column, t: Column) -> Column:
-        return F.coalesce(find(t["known"], HEAD_BUCKETS, piece), F.size(F.when(
+        return F.coalesce(look_up(t["known"], piece), F.size(F.when(
             F.octet_length(piece) > LONG, F.col(far)[piece]).otherwise(fold(piece, t["merges"]))))
 
     total = let(F.col(tables), lambda t: F.aggregate(

@@ -32,10 +32,10 @@ END_ID = 2
 SHARD_DOCUMENTS = 4096
 SEGMENT_TOKENS = 1 << 20
 #: Pairs replaced in one round, rounds, and how often a pair must occur.
-ROUND_PAIRS, ROUNDS, LEAST = 2048, 8, 8
+ROUND_PAIRS, ROUNDS, LEAST = 4096, 5, 8
 #: Bits of the hash that counts pairs.
 PLACE_BITS = 20
-#: Different words whose ids a task remembers before it starts afresh.
+#: Different words whose ids a worker remembers before it starts afresh.
 REMEMBERED = 300_000
 
 #: What the tokenizer's pattern takes for white space; str.split() also splits at the four separators 1C to 1F.
@@ -45,6 +45,9 @@ _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: The tokenizer's pattern for printable ASCII in lower case, where bytes stand for themselves.
 _ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
+#: Array codes of unsigned integers by width.
+_KIND = {2: "H", 4: "I"}
+
 ENCODED = "id long, shard int, ids binary"
 SEGMENT = ("shard int, segment int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, base long, width int, "
            "rules binary, lengths binary, symbols binary")
@@ -60,21 +63,21 @@ def _words(text: str) -> list[str]:
 class _Pieces(dict):
     """Ids of a pre-tokenized piece by the library's model."""
 
-    def __init__(self, tokenizer) -> None:
+    def __init__(self, tokenizer, kind: str) -> None:
         super().__init__()
-        self.model = tokenizer.model
+        self.model, self.kind = tokenizer.model, kind
 
     def __missing__(self, piece: str) -> bytes:
-        self[piece] = ids = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        self[piece] = ids = array(self.kind, [t.id for t in self.model.tokenize(piece)]).tobytes()
         return ids
 
 
 class _Words(dict):
     """Ids of a word without white space: the library's steps, each different word and piece once."""
 
-    def __init__(self, tokenizer) -> None:
+    def __init__(self, tokenizer, kind: str) -> None:
         super().__init__()
-        self.tokenizer, self.pieces = tokenizer, _Pieces(tokenizer)
+        self.tokenizer, self.pieces, self.kind = tokenizer, _Pieces(tokenizer, kind), kind
         self.normal, self.cut = tokenizer.normalizer, tokenizer.pre_tokenizer
 
     def forget(self) -> None:
@@ -83,7 +86,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         if "<|" in word:  # may hold a special token
-            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            ids = array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         elif word.isascii() and word.isprintable():
             ids = b"".join(map(self.pieces.__getitem__, _ASCII_PIECE.findall(word.lower())))
         else:
@@ -93,11 +96,11 @@ class _Words(dict):
 
 
 def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", id_column: str = "doc_id",
-           end_id: int = END_ID, shard_documents: int = SHARD_DOCUMENTS) -> DataFrame:
-    """id, shard (by ranges of ids), ids (little-endian unsigned 32-bit, the end id last).
+           end_id: int = END_ID, shard_documents: int = SHARD_DOCUMENTS, id_bytes: int = 4) -> DataFrame:
+    """id, shard (by ranges of ids), ids (little-endian, ``id_bytes`` wide, the end id last).
 
     The tokenizer drops white space and never merges across it, so each different word, and of words each different
-    piece, goes through the library once per task; whole texts are put together from them. Words of printable ASCII are
+    piece, goes through the library once per worker; whole texts are put together from them. Words of printable ASCII are
     cut into pieces by the tokenizer's own pattern, all others by its normalizer and pre-tokenizer.
     """
     rows = docs.filter(F.col(id_column).isNotNull()).agg(F.count("*")).first()[0]
@@ -106,11 +109,16 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", id_column:
     edges = docs.agg(F.percentile_approx(F.col(id_column), cuts, 100 * shards)).first()[0] if cuts else []
     edges = np.unique(np.array(edges or [], np.int64))
 
+    # Each Python worker holds its own copy of a broadcast list for all its tasks, and so the words it has met.
+    kept = docs.sparkSession.sparkContext.broadcast([])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
 
-        coded = _Words(Tokenizer.from_file(tokenizer_file))
-        end = array("I", [end_id]).tobytes()
+        if not kept.value:
+            kept.value.append(_Words(Tokenizer.from_file(tokenizer_file), _KIND[id_bytes]))
+        coded = kept.value[0]
+        end = array(_KIND[id_bytes], [end_id]).tobytes()
         for batch in batches:
             out = []
             for text in batch.column(1):
@@ -177,7 +185,7 @@ def rule_lengths(rules: np.ndarray, base: int) -> np.ndarray:
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     """The ids that symbols stand for."""
-    flat = np.empty(int(lengths.sum()), np.int64)
+    flat = np.empty(int(lengths.sum()), np.int32)
     offsets = np.concatenate(([0], np.cumsum(lengths)))[:-1] if len(lengths) else np.empty(0, np.int64)
     for k, ((a, b), at) in enumerate(zip(rules.tolist(), offsets.tolist())):
         for part in (a, b):
@@ -189,18 +197,19 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: in
                 flat[at:at + n] = flat[other:other + n]
                 at += n
     is_rule = symbols >= base
+    if not is_rule.any():
+        return symbols
     index = np.where(is_rule, symbols - base, 0)
-    size = np.where(is_rule, lengths[index], 1) if len(lengths) else np.ones(len(symbols), np.int64)
-    ends = np.cumsum(size)
+    size = np.where(is_rule, lengths[index], 1)
     out = np.repeat(symbols, size)
-    from_rule = np.repeat(is_rule, size)
-    if from_rule.any():
-        step = np.arange(len(out)) - np.repeat(ends - size, size)
-        out[from_rule] = flat[(np.repeat(offsets[index], size) + step)[from_rule]]
+    at = np.flatnonzero(np.repeat(is_rule, size))
+    # Where the token of each place of a rule lies in the rules' expansions.
+    shift = offsets[index] - (np.cumsum(size) - size)
+    out[at] = flat[at + np.repeat(shift[is_rule], size[is_rule])]
     return out
 
 
-def write(encoded: DataFrame, path: str, base: int) -> None:
+def write(encoded: DataFrame, path: str, base: int, id_bytes: int = 4) -> None:
     """Write the segments of ``encode`` in ascending order of shard and id. ``base``: the tokenizer's vocabulary size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("n_tokens", pa.int64()),
@@ -209,22 +218,22 @@ def write(encoded: DataFrame, path: str, base: int) -> None:
         shard, segment, ids, parts, tokens = None, 0, [], [], 0
 
         def segment_row() -> pa.RecordBatch:
-            rules, symbols = compress(np.frombuffer(b"".join(parts), "<u4"), base)
+            rules, symbols = compress(np.frombuffer(b"".join(parts), f"<u{id_bytes}"), base)
             width = 2 if len(symbols) == 0 or symbols.max() < 1 << 16 else 4
-            row = [shard, segment, tokens, ids, [len(p) // 4 for p in parts], base, width, rules.astype("<u4").tobytes(),
+            row = [shard, segment, tokens, ids, [len(p) // id_bytes for p in parts], base, width, rules.astype("<u4").tobytes(),
                    rule_lengths(rules, base).astype("<u4").tobytes(), symbols.astype(f"<u{width}").tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
             for own, at, coded in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if parts and (at != shard or tokens + len(coded) // 4 > SEGMENT_TOKENS):
+                if parts and (at != shard or tokens + len(coded) // id_bytes > SEGMENT_TOKENS):
                     yield segment_row()
                     segment = segment + 1 if at == shard else 0
                     ids, parts, tokens = [], [], 0
                 shard = at
                 ids.append(own)
                 parts.append(coded)
-                tokens += len(coded) // 4
+                tokens += len(coded) // id_bytes
         if parts:
             yield segment_row()
 
@@ -235,7 +244,7 @@ def write(encoded: DataFrame, path: str, base: int) -> None:
 def _segment(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
     lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
-    symbols = np.frombuffer(row["symbols"], f"<u{row['width']}").astype(np.int64)
+    symbols = np.frombuffer(row["symbols"], f"<u{row['width']}").astype(np.int32)
     return symbols, rules, lengths, row["base"]
 
 
@@ -289,7 +298,9 @@ def stored_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     file = public_tokenizers.path("word_bpe_49k.json")
     path = scratch_path(spark, "token-ids")
-    write(encode(read(spark, folder, "documents"), file), path, Tokenizer.from_file(file).get_vocab_size())
+    size = Tokenizer.from_file(file).get_vocab_size()
+    width = 2 if size <= 1 << 16 else 4
+    write(encode(read(spark, folder, "documents"), file, id_bytes=width), path, size, width)
     return decode(spark, path).join(segment_starts(spark, path), ["shard", "segment"]).select(
         F.col("id").alias("doc_id"), (F.col("before") + F.col("offset")).alias("start"), "n_tokens",
         F.col("crc").alias("ids_crc32"))

@@ -235,17 +235,15 @@ def head_table(encoded: DataFrame, value: str, slots: int = HEAD_SLOTS) -> Colum
     rows = encoded.select("piece", F.col(value).alias("v"), F.xxhash64("piece").alias("h")).toArrow()
     first = rows["h"].to_numpy() & (slots - 1)
     second = (rows["h"].to_numpy() >> 32) & (slots - 1)
-    one, two = first.tolist(), second.tolist()
-    held: dict[int, int] = {}
-    for i, slot in enumerate(one):
+    taken = np.full(slots, -1, np.int64)
+    one, two, held = memoryview(first), memoryview(second), memoryview(taken)
+    for i in range(len(first)):
+        slot = one[i]
         for _ in range(64):
-            other = held.get(slot)
-            held[slot] = i
-            if other is None:
+            other, held[slot] = held[slot], i
+            if other < 0:
                 break
             i, slot = other, two[other] if slot == one[other] else one[other]
-    taken = np.full(slots, -1, np.int64)
-    taken[list(held)] = list(held.values())
     at = pa.array(taken, mask=taken < 0)
 
     def literal(column: str) -> Column:

@@ -143,14 +143,7 @@ def _in_bitmap(table: Column, key: Column) -> Column:
 def verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
     """c of the later classes of ``pairs`` (later, earlier: class numbers) that are similar, by their words."""
     pairs = stored(pairs.distinct(), "line-pairs")
-    # Nearly every pair that comes so far is similar: one for each later class settles most of them.
-    first = pairs.groupBy("later").agg(F.min("earlier").alias("earlier"))
-    found = stored(_similar(first, classes, lines), "line-removed")
-    rest = stored(pairs.join(found.withColumnRenamed("c", "later"), "later", "left_anti").join(
-        first, ["later", "earlier"], "left_anti"), "line-pairs")
-    if rest.isEmpty():
-        return found
-    return found.union(stored(_similar(rest, classes, lines), "line-removed"))
+    return stored(_similar(pairs, classes, lines), "line-removed")
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:

@@ -44,3 +44,14 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v"), F.col("v")).distinct())
+
+
+def joined_components(first: DataFrame, met: DataFrame) -> DataFrame:
+    """node, component of ``first`` after its components are joined by ``met`` (c1, c2: components, or nodes without one)."""
+    second = components(met.select("c1", "c2").distinct(), "c1", "c2").select(
+        F.col("node").alias("c1"), F.col("component").alias("joined"))
+    ends = second.join(first.select(F.col("component").alias("c1")).distinct(), "c1", "left_anti")
+    lone = ends.select(F.col("c1").alias("node"), F.col("joined").alias("component"))
+    grown = first.withColumnRenamed("component", "c1").join(second, "c1", "left").select(
+        "node", F.coalesce("joined", "c1").alias("component"))
+    return grown.union(lone)

@@ -12,20 +12,19 @@ null ids only has a null component_id; repeated rows are repeated in the result;
 
 from __future__ import annotations
 
-from itertools import combinations, repeat
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
+from gridlens.llm import shingle_sets
 from gridlens.llm.common import fresh, stored
-from gridlens.llm.components import components
+from gridlens.llm.components import components, joined_components
 
 BITS = 64
 WORDS = 4
-SEED = 42
 DISTANCE = 4
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
@@ -33,16 +32,10 @@ CHUNK = 1 << 16
 
 def _fingerprint(text: str | None, words: int) -> int:
     """Bits set in over half the XXH64 of all shingles, as a signed long."""
-    parts = (text or "").encode().lower().split()  # bytes: only A-Z, and only the six ASCII blanks
-    if not parts:
+    hashes = shingle_sets.shingle_hashes(text, words)
+    n = len(hashes)
+    if not n:
         return 0
-    joined = b" ".join(parts)
-    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    width = min(words, len(parts))
-    spans = map(slice, starts[: len(parts) - width + 1].tolist(), ends[width - 1:].tolist())
-    n = len(parts) - width + 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, spans), repeat(SEED)), np.uint64, n)
     counts = np.zeros(BITS, np.int64)
     for at in range(0, n, CHUNK):
         octets = hashes[at:at + CHUNK].view(np.uint8).reshape(-1, 8)
@@ -114,21 +107,25 @@ def near_components(nodes: DataFrame, value: str, distance: int = DISTANCE) -> D
     right = mixed.select("c", "m", F.col("f").alias("f2"), F.col("component").alias("c2"))
     met = left.join(right, (left.c == right.c) & (left.m == right.m) & (F.col("c1") != F.col("c2"))
                     & (apart("f1", "f2") <= distance))
-    second = components(met.select("c1", "c2").distinct(), "c1", "c2").select(
-        F.col("node").alias("c1"), F.col("component").alias("joined"))
-    ends = second.join(first.select(F.col("component").alias("c1")).distinct(), "c1", "left_anti")
-    lone = ends.select(F.col("c1").alias("node"), F.col("joined").alias("component"))
-    grown = first.withColumnRenamed("component", "c1").join(second, "c1", "left").select(
-        "node", F.coalesce("joined", "c1").alias("component"))
-    return grown.union(lone)
+    return joined_components(first, met)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id", keep: tuple[str, ...] = (),
-                    words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """id, fingerprint (long), component_id (smallest id reachable), and the columns ``keep``, a row for each document."""
-    marked = stored(docs.select(F.col(id_column).alias("id"), fingerprint(text, words).alias("fingerprint"),
-                                F.struct(F.lit(0).alias("_"), *keep).alias("kept")), "simhash")
-    linked = near_components(marked, "fingerprint", distance).withColumnRenamed("node", "fingerprint")
+                    words: int = WORDS, distance: int | None = None) -> DataFrame:
+    """id, fingerprint (long), component_id (smallest id reachable), and the columns ``keep``, a row for each document.
+
+    Fingerprints within ``distance`` bits are linked. Without a distance the fingerprint is a digest of the text's set of
+    shingles, and sets of a Jaccard similarity of at least ``shingle_sets.SIMILARITY`` are linked, all of them.
+    """
+    mark = fingerprint(text, words) if distance is not None else shingle_sets.digest(docs, text, words)
+    marked = docs.select(F.col(id_column).alias("id"), mark.alias("fingerprint"), F.struct(F.lit(0).alias("_"), *keep).alias("kept"))
+    if distance is None:
+        marked = marked.select("id", "fingerprint.*", "kept").withColumnRenamed("node", "fingerprint")
+    marked = stored(marked, "simhash")
+    if distance is None:
+        linked = shingle_sets.near_components(marked, docs, text, words).withColumnRenamed("node", "fingerprint")
+    else:
+        linked = near_components(marked, "fingerprint", distance).withColumnRenamed("node", "fingerprint")
     classes = marked.groupBy("fingerprint").agg(F.min("id").alias("least")).join(linked, "fingerprint", "left")
     classes = classes.withColumn("component", F.coalesce("component", "fingerprint"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -137,7 +134,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
 
 
 def one_of_each(docs: DataFrame, text: str = "text", id_column: str = "doc_id", words: int = 5,
-                distance: int = DISTANCE) -> DataFrame:
+                distance: int | None = None) -> DataFrame:
     """One document of each group: the smallest id, of equal ids the smallest row hash, of equal rows one."""
     mark, = fresh(docs, "_row")
     row = F.xxhash64(*docs.columns)
@@ -157,5 +154,5 @@ def one_of_each(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
 
 def document_components(docs: DataFrame) -> DataFrame:
     """The contract's rows."""
-    return near_duplicates(docs).select(
+    return near_duplicates(docs, distance=DISTANCE).select(
         F.col("id").alias("doc_id"), hex_digits("fingerprint").alias("fingerprint"), "component_id")

@@ -31,9 +31,9 @@ END_ID = 2
 #: Documents in a shard, and tokens after which a segment of a shard is closed.
 SHARD_DOCUMENTS = 4096
 SEGMENT_TOKENS = 1 << 20
-#: Pairs replaced in one round, rounds, and how often a pair must occur.
-ROUND_PAIRS, ROUNDS, LEAST = 4096, 5, 8
-#: Bits of the hash that counts pairs.
+#: Pairs replaced in one round, and how often a pair must occur.
+ROUND_PAIRS, LEAST = 4096, 8
+#: Bits of the hash that tells which pairs are counted one by one.
 PLACE_BITS = 20
 #: Different words whose ids a worker remembers before it starts afresh.
 REMEMBERED = 300_000
@@ -133,45 +133,47 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", id_column:
     return docs.select(F.col(id_column).cast("long").alias("id"), whole(text).alias("text")).mapInArrow(run, ENCODED)
 
 
-def compress(ids: np.ndarray, base: int, round_pairs: int = ROUND_PAIRS, rounds: int = ROUNDS,
+def compress(ids: np.ndarray, base: int, round_pairs: int = ROUND_PAIRS,
              least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """(rules, symbols): rule k stands for the pair rules[k] and is written as base + k."""
+    """(rules, symbols): rule k stands for the pair rules[k] and is written as base + k. Goes on until no pair of
+    neighbouring symbols occurs ``least`` times (of the overlapping places of a run every second one counts)."""
     symbols, rules = ids.astype(np.uint32), np.empty((0, 2), np.uint32)
     places = 1 << PLACE_BITS
-    for _ in range(rounds):
-        if len(symbols) < 2 * least:
-            break
+    while len(symbols) >= 2 * least:
         left, right = symbols[:-1], symbols[1:]
-        # Pairs are counted by a hash; in each of the fullest places the pair that came last is looked at.
+        # Places of a hash are counted first; the pairs of those that hold enough are counted one by one.
         place = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) >> np.uint32(32 - PLACE_BITS)
-        counts = np.bincount(place, minlength=places)
-        full = np.flatnonzero(counts >= least)
-        if len(full) > round_pairs:
-            full = full[np.argpartition(counts[full], -round_pairs)[-round_pairs:]]
-        number = np.full(places, -1, np.int32)
-        number[full] = np.arange(len(full), dtype=np.int32)
-        index = number[place]
-        at = np.flatnonzero(index >= 0)
-        index = index[at]
-        pair = np.zeros((len(full), 2), np.uint32)
-        pair[index, 0], pair[index, 1] = left[at], right[at]
-        same = (pair[index, 0] == left[at]) & (pair[index, 1] == right[at])
-        at, index = at[same], index[same]
-        chosen = np.bincount(index, minlength=len(full)) >= least
-        if not chosen.any():
+        at = np.flatnonzero((np.bincount(place, minlength=places) >= least)[place])
+        # A run of one symbol holds its pair at every second place only.
+        alone = np.ones(len(at), bool)
+        run = left[at] == right[at]
+        fresh = np.concatenate(([True], (np.diff(at) != 1) | (left[at[1:]] != left[at[:-1]]) | ~run[:-1])) if len(at) else run
+        begin = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+        alone[run] = (np.arange(len(at)) - begin)[run] % 2 == 0
+        at = at[alone]
+        pairs, index, often = np.unique((left[at].astype(np.uint64) << np.uint64(32)) | right[at], return_inverse=True,
+                                        return_counts=True)
+        chosen = np.flatnonzero(often >= least)
+        if not len(chosen):
             break
-        keep = chosen[index]
-        at, new = at[keep], (base + len(rules) - 1 + np.cumsum(chosen))[index[keep]]
+        if len(chosen) > round_pairs:
+            chosen = chosen[np.argpartition(often[chosen], -round_pairs)[-round_pairs:]]
+        number = np.full(len(pairs), -1, np.int64)
+        number[chosen] = np.arange(len(chosen))
+        keep = number[index] >= 0
+        at, rule = at[keep], number[index[keep]]
         # Of overlapping places every second one, counted from the left end of the run.
         starts = np.concatenate(([True], np.diff(at) != 1))
         first = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
         taken = (np.arange(len(at)) - first) % 2 == 0
-        at, new = at[taken], new[taken]
-        symbols[at] = new
+        at, rule = at[taken], rule[taken]
+        used, rule = np.unique(rule, return_inverse=True)
+        symbols[at] = (base + len(rules) + rule).astype(np.uint32)
         left_over = np.ones(len(symbols), bool)
         left_over[at + 1] = False
         symbols = symbols[left_over]
-        rules = np.concatenate((rules, pair[chosen]))
+        new = pairs[chosen[used]]
+        rules = np.concatenate((rules, np.stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32)))
     return rules, symbols
 
 

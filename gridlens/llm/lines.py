@@ -14,7 +14,7 @@ similarity of at least ``SIMILARITY`` with it; the first one stays.
 5. What is left is verified on the words themselves. Only lines that take part in a candidate pair are read for that,
    found by a bitmap of fixed size.
 
-Defined cases: null and empty texts have one line without words; lines without words (or with fewer than ``least_words``)
+Defined cases: null and empty texts have one line without words; lines without words (or with fewer than ``least_words``, repeated ones counted)
 always stay; null ids come last; rows equal in id and text are treated alike; an empty table gives an empty result; extra
 columns are kept.
 """
@@ -101,8 +101,9 @@ def _unpacked(packed: Column) -> tuple[Column, Column]:
 
 def line_sets(lines: DataFrame, least_words: int = 1) -> DataFrame:
     """doc, h, line, n, prefix (hashes of the rarest words), parity, a and b (digests of the set) of each line; stored."""
-    hashes = F.array_distinct(F.array_remove(hashes_of("s"), F.xxhash64(F.lit(""))))
-    worded = lines.select("doc", "h", "line", hashes.alias("words")).filter(F.size("words") >= least_words)
+    every = F.array_remove(hashes_of("s"), F.xxhash64(F.lit("")))
+    worded = lines.select("doc", "h", "line", every.alias("words")).filter(F.size("words") >= least_words).select(
+        "doc", "h", "line", F.array_distinct("words").alias("words"))
     keyed = worded.withColumn("counts", rarity(lines)).select("doc", "h", "line", F.get(F.transform(
         F.array(F.col("counts")), lambda t: ordered_words(F.col("words"), t)), F.lit(0)).alias("set"))
     n = F.size("set")

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlens import tune
-from gridlens.llm import byte_pairs, lines, merkle, mixing, quality, repair, simhash, suffix_tree, token_counts, vectors
+from gridlens.llm import (
+    automaton, byte_pairs, collisions, lines, merkle, mixing, quality, rank_index, repair, simhash, suffix_tree, token_counts,
+    vectors,
+)
 from gridlens.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +32,10 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": _over("documents", lines.document_lines),
     "op9_suffix_tree": _over("documents", suffix_tree.document_scores),
     "op10_repair_ids": lambda spark, folder: repair.stored_documents(tune(spark), folder),
+    "op11_automaton_rank": lambda spark, folder: automaton.search(
+        read(tune(spark), folder, "documents"), read(spark, folder, "benchmark")),
+    "op12_collision_search": _over("embeddings", collisions.nearest_vectors),
+    "op13_rank_index": _over("documents", rank_index.document_forms),
 }
 
 ORACLES: dict[str, str] = {
@@ -36,4 +43,7 @@ ORACLES: dict[str, str] = {
     "op5_merkle_tree": merkle.sql(),
     "op6_product_quantisation": vectors.sql(),
     "op8_line_dedup": lines.sql(),
+    "op11_automaton_rank": automaton.sql(),
+    "op12_collision_search": collisions.sql(),
+    "op13_rank_index": rank_index.sql(),
 }

@@ -57,7 +57,7 @@ def test_without_operators_the_registry_stands(tmp_path):
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_equals_its_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     want = connection.execute(ORACLES[name])
     columns = sorted(c[0] for c in want.description)

@@ -45,12 +45,15 @@ def _(spark, folder):
 
 
 @check("detect_separator", using("invoices", body="""
-SELECT folder, separator FROM (SELECT PERIODO < 199601 AS early, count(*) AS n FROM invoices GROUP BY 1)
-JOIN (SELECT true AS early, 'a' AS folder, ';' AS separator UNION ALL SELECT false, 'b', ',') USING (early)"""))
+SELECT DISTINCT 'mes=' || PERIODO AS folder, CASE WHEN PERIODO < 199601 THEN ';' ELSE ',' END AS separator FROM invoices"""))
 def _(spark, folder):
-    found = csv_folder.detect_separator(spark, _monthly_folder(spark, folder))
-    # Spark names and counts the files itself; what SQL can know is the folder each lies in.
-    return found.select(F.element_at(F.split("file", "/"), -2).alias("folder"), "separator").distinct()
+    """A file for each month, in a folder of its own whose name SQL knows (Spark names the files)."""
+    path = scratch_path(spark, "months")
+    raw = views.invoices(spark, folder).withColumn("mes", F.col(ROLES.period))
+    for rows, separator in ((raw.filter("mes < 199601"), ";"), (raw.filter("mes >= 199601"), ",")):
+        rows.repartition("mes").write.mode("append").option("header", True).option("sep", separator).partitionBy("mes").csv(path)
+    found = csv_folder.detect_separator(spark, path)
+    return found.select(F.element_at(F.split("file", "/"), -2).alias("folder"), "separator")
 
 
 @check("read_fact", using("invoices", body="""

@@ -72,6 +72,60 @@ def test_known_layout_reads_by_name(spark, tmp_path):
         read(spark, str(tmp_path), separator=";", columns=["A", "B"]).collect()
 
 
+def test_only_the_first_line_is_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A;B\nx;y\nA;B\nB;A\n\nA;B\n")
+    (tmp_path / "b.csv").write_text("B;A\nB;A\n2;1\n")
+    expected = sorted([("x", "y"), ("A", "B"), ("B", "A"), ("A", "B"), ("A", "B"), ("1", "2")])
+    read = csv_folder.read_csv_folder
+    assert sorted(rows(read(spark, str(tmp_path)), "A", "B")) == expected
+    assert sorted(rows(read(spark, str(tmp_path), separator=";", columns=["B", "A"]), "A", "B")) == expected
+
+
+def test_layouts_of_every_kind_in_one_scan(spark, tmp_path):
+    """Different separators, widths, orders and spellings; a quoted separator; a file of a header and one of nothing."""
+    (tmp_path / "a.csv").write_text('A;B;C\n1;"2;5";3\n4\n5;6;7;8\n')
+    (tmp_path / "b.csv").write_text('b,A\n"y,z",x\nu,v,w\n')
+    (tmp_path / "c.csv").write_text("C\tD\n9\t\n")
+    (tmp_path / "d.csv").write_text("A;B;C\n")
+    (tmp_path / "e.csv").write_text("")
+    df = csv_folder.read_csv_folder(spark, str(tmp_path), keep_malformed=True)
+    assert df.columns == ["A", "B", "C", "D", "_malformed"]
+    assert sorted(rows(df), key=repr) == sorted([
+        ("1", "2;5", "3", None, False), ("4", None, None, None, False), ("5", "6", "7", None, True),
+        ("x", "y,z", None, None, False), ("v", "u", None, None, True), (None, None, "9", None, False)], key=repr)
+    plan = df.filter("true")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_of_many_layouts_are_joined_by_path(spark, tmp_path, monkeypatch):
+    for k in range(12):
+        (tmp_path / f"{k:02}.csv").write_text(f"A;B{k % 4}\n{k};{k * k}\n" * (1 + k % 2))
+    wide = csv_folder.read_csv_folder(spark, str(tmp_path))
+    got = sorted(map(repr, rows(wide)))
+    monkeypatch.setattr(csv_folder, "BROADCAST_FILES", 0)
+    assert sorted(map(repr, rows(csv_folder.read_csv_folder(spark, str(tmp_path))))) == got
+    assert wide.columns == ["A", "B0", "B1", "B2", "B3"] and len(got) == 24
+
+
+def test_known_layout_is_one_scan_without_exchange(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("A;B\n" + "1;2\n" * 10)
+    df = csv_folder.read_csv_folder(spark, str(tmp_path), separator=";", columns=["A", "B"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Exchange" not in plan and "Join" not in plan
+    with pytest.raises(PySparkException, match="not"):
+        csv_folder.read_csv_folder(spark, str(tmp_path), separator=";", columns=["A", "C"])
+
+
+def test_heads_take_one_task_a_file(spark, tmp_path):
+    for k in range(5):
+        (tmp_path / f"{k}.csv").write_text("A;B\n" + f"{k};2\n" * 50_000)
+    heads = csv_folder.file_heads(spark, str(tmp_path), num_lines=3)
+    assert sorted(rows(heads.select("n", "line")))[:6] == [(0, "A;B")] * 5 + [(1, "0;2")]
+    assert heads.count() == 15 and heads.select("file").distinct().count() == 5
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != csv_folder.ONE_FILE
+
+
 def test_quoted_headers(spark, tmp_path):
     (tmp_path / "a.csv").write_text('"A;1";B\nx;y\n')
     df = csv_folder.read_csv_folder(spark, str(tmp_path))

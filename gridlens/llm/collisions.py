@@ -2,18 +2,20 @@
 
 Vectors get one more component, which gives all of them the length of the longest, and queries a zero there: the nearest by
 distance are then those of largest inner product. Every projection on a random direction is one sorted array. Around a query's
-own projection a window of half-width ``WIDTH`` x radius is opened in each array; a vector within the radius falls into each
-window with at least a known probability, so one that collides in ``threshold`` of them is verified by its exact inner product.
-While fewer than the wanted number are verified within the radius, the radius grows by ``GROWTH`` (virtual rehashing: the arrays
-stay, the windows widen, and only what is new in them is counted). At the last radius the windows hold everything.
+own projection a window of half-width ``WIDTH`` x radius is opened in each array: two binary searches give its ends, and the
+ranks of the vectors tell which of them lie inside. A vector within the radius falls into each window with at least a known
+probability, so one that collides in ``threshold`` of them is verified by its exact inner product. The first radius is that of
+the nearest of a few vectors of the block. While fewer than the wanted number are verified within the radius it grows, by
+``GROWTH`` or to the distance of the last wanted one (virtual rehashing: the arrays stay, the windows widen). Windows of the
+largest radius hold everything.
 
 Vectors are dealt to blocks by a hash, and every block is an index of its own that is met by all queries in parts; a block
 returns the best of each query and never its candidates. The number of blocks grows with the rows, blocks do not. The work is
-that of the method: queries x rows x the share of the arrays that the windows cover. Directions are drawn with a fixed seed; no
-sample of the data is taken.
+that of the method: queries x rows x projections. Directions are drawn with a fixed seed.
 
-Equal vectors are one class, so a vector that a third of all rows hold is searched once. Of its copies only the ``k`` + 1 of
-smallest id can be among anybody's ``k`` nearest; Spark keeps so many in each task before they are exchanged.
+Equal vectors (told apart by two 64-bit hashes) are one class, so a vector that a third of all rows hold is searched once. Of
+its copies only the ``k`` + 1 of smallest id can be among anybody's ``k`` nearest; Spark keeps so many in each task before they
+are exchanged.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components are neither queries nor candidates; a query
 meets the vectors of its own length only; null ids are candidates, after all others among equal scores, and never queries;
@@ -38,13 +40,13 @@ QUERY_EVERY = 20
 PROJECTIONS = 64
 #: Half a window, in radii.
 WIDTH = 1.0
-GROWTH = 1.15
+GROWTH = 1.1
 #: Least probability that a vector at the radius reaches the threshold.
-CHANCE = 0.999
-#: Vectors of an index, and queries that meet it in one task.
-BLOCK, PART = 8192, 512
-#: Radii that are tried, the last one covers all distances.
-RADII = 24
+CHANCE = 0.9995
+#: Vectors of an index (ranks take 16 bits), and queries that meet it in one task.
+BLOCK, PART = 16_384, 512
+#: Queries whose collisions are counted at once.
+AT_ONCE = 32
 FOUND = "q long, node long, score double"
 
 
@@ -68,77 +70,85 @@ def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Arrays:
-    """Sorted projections of the vectors of a block."""
+    """Sorted projections of the vectors of a block, and each vector's rank in them."""
 
     vectors: np.ndarray
     directions: np.ndarray
     values: np.ndarray  # projections x vectors, each row sorted
-    order: np.ndarray
+    ranks: np.ndarray  # projections x vectors
     longest: float
 
     @classmethod
     def build(cls, vectors: np.ndarray, longest: float, projections: int = PROJECTIONS, seed: int = 7) -> Arrays:
+        if not 0 < len(vectors) < 1 << 16 or projections > 255:
+            raise ValueError("ranks are 16-bit, counts 8-bit numbers")
         directions = np.random.default_rng(seed).standard_normal((projections, vectors.shape[1] + 1))
         spare = np.sqrt(np.maximum(longest ** 2 - (vectors ** 2).sum(1), 0.0))
         values = directions[:, :-1] @ vectors.T + directions[:, -1:] * spare
-        order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
-        return cls(vectors, directions, np.take_along_axis(values, order, axis=1), order, longest)
+        order = np.argsort(values, axis=1, kind="stable")
+        ranks = np.empty(values.shape, np.uint16)
+        np.put_along_axis(ranks, order, np.broadcast_to(np.arange(len(vectors), dtype=np.uint16), values.shape), axis=1)
+        return cls(vectors, directions, np.take_along_axis(values, order, axis=1), ranks, longest)
+
+    def collisions(self, centre: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """queries x vectors: in how many arrays the window around the query holds the vector."""
+        counts = np.zeros((len(centre), len(self.vectors)), np.uint8)
+        for value, rank, own in zip(self.values, self.ranks, centre.T):
+            low = np.searchsorted(value, own - reach, side="left")
+            size = np.searchsorted(value, own + reach, side="right") - low
+            # A rank below the window wraps round to a large number.
+            counts += (rank - low.astype(np.uint16)[:, None]) < size.astype(np.uint16)[:, None]
+        return counts
 
     def nearest(self, queries: np.ndarray, k: int, ties: np.ndarray, least: int, width: float = WIDTH,
-                growth: float = GROWTH, radii: int = RADII) -> list[tuple[np.ndarray, np.ndarray]]:
+                growth: float = GROWTH) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the places of its ``k`` best vectors, and their scores; ``ties`` orders equal scores."""
-        n, k = len(self.vectors), min(k, len(self.vectors))
-        lengths = np.sqrt((queries ** 2).sum(1))
-        farthest = self.longest + lengths
-        steps = growth ** np.arange(1 - radii, 1, dtype=float)
-        centre = queries @ self.directions[:, :-1].T
-        reach = width * farthest[:, None] * steps
-        low = np.empty((len(self.values), len(queries), radii), np.int32)
-        high = np.empty_like(low)
-        for i, row in enumerate(self.values):
-            low[i] = np.searchsorted(row, centre[:, i, None] - reach, side="left")
-            high[i] = np.searchsorted(row, centre[:, i, None] + reach, side="right")
-        low[:, :, -1], high[:, :, -1] = 0, n
-        # Radii whose windows cannot hold ``k`` vectors ``least`` times are not worth a look.
-        enough = (high - low).sum(axis=0) >= least * k
-        out = []
-        for j, query in enumerate(queries):
-            count = np.zeros(n, np.int32)
-            seen = np.zeros(n, bool)
-            place, score = np.empty(0, np.int64), np.empty(0)
-            before: np.ndarray | None = None
-            for r in range(int(np.argmax(enough[j])), radii):
-                a, b = low[:, j, r], high[:, j, r]
-                if before is None:
-                    new = [self.order[i, a[i]:b[i]] for i in range(len(a))]
-                else:
-                    new = [self.order[i, a[i]:before[0][i]] for i in range(len(a))]
-                    new += [self.order[i, before[1][i]:b[i]] for i in range(len(a))]
-                before = (a, b)
-                count += np.bincount(np.concatenate(new), minlength=n).astype(np.int32)
-                found = np.flatnonzero((count >= least) & ~seen)
-                seen[found] = True
-                place = np.concatenate((place, found))
-                score = np.concatenate((score, products(self.vectors[found], np.broadcast_to(query, (len(found), len(query))))))
-                # Squared distance, with the added component, of the inner product at the radius.
-                bound = (lengths[j] ** 2 + self.longest ** 2 - (farthest[j] * steps[r]) ** 2) / 2
-                if (score >= bound).sum() >= k:
-                    break
-            best = np.lexsort((ties[place], -score))[:k]
-            out.append((place[best], score[best]))
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for at in range(0, len(queries), AT_ONCE):
+            out += self._nearest(queries[at:at + AT_ONCE], min(k, len(self.vectors)), ties, least, width, growth)
         return out
 
-
-def _classes(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """Classes of equal vectors (node, d, length, vector, asked), and their first ``k`` + 1 rows (node, id, place)."""
-    grouped = rows.groupBy("vector").agg(F.max("query").alias("asked"), F.min("id").alias("least"))
-    described = grouped.withColumn("node", F.monotonically_increasing_id()).withColumn("d", F.size("vector"))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
-    classes = stored(described.withColumn("length", norm), "vector-classes")
-    first = Window.partitionBy("vector").orderBy(F.col("id").asc_nulls_last(), "row")
+    def _nearest(self, queries: np.ndarray, k: int, ties: np.ndarray, least: int, width: float,
+                 growth: float) -> list[tuple[np.ndarray, np.ndarray]]:
+        centre = queries @ self.directions[:, :-1].T
+        level = (queries ** 2).sum(1) + self.longest ** 2
+        farthest = self.longest + np.sqrt((queries ** 2).sum(1))
+        few = self.vectors[::k]
+        radius = np.sqrt(np.maximum(level - 2 * (queries @ few.T).max(axis=1), 0.0)) + 1e-3 * farthest
+        found: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(queries)
+        open_ = np.arange(len(queries))
+        while len(open_):
+            full = radius >= farthest
+            counts = self.collisions(centre[open_], np.where(full, np.inf, width * radius)[open_])
+            for row, j in zip(counts, open_.tolist()):
+                place = np.flatnonzero(row >= least)
+                score = self.vectors[place] @ queries[j]
+                last = np.partition(score, len(score) - k)[len(score) - k] if len(score) >= k else -np.inf
+                distance = np.sqrt(max(level[j] - 2 * last, 0.0)) if len(score) >= k else np.inf
+                if distance > radius[j] and not full[j]:
+                    radius[j] = min(max(growth * radius[j], distance if np.isfinite(distance) else 0.0), farthest[j])
+                    continue
+                # The exact product decides among those that rounding may have put on either side.
+                place = place[score >= last - 1e-9 * farthest[j] ** 2]
+                exact = products(self.vectors[place], np.broadcast_to(queries[j], (len(place), queries.shape[1])))
+                best = np.lexsort((ties[place], -exact))[:k]
+                found[j] = place[best], exact[best]
+            open_ = np.array([j for j in open_.tolist() if found[j] is None], np.int64)
+        return found
+
+
+def _classes(rows: DataFrame, k: int) -> DataFrame:
+    """Classes of equal vectors: node, h1, h2, d, length, vector, asked, least and their first ``k`` + 1 rows."""
+    first = Window.partitionBy("h1", "h2").orderBy(F.col("id").asc_nulls_last(), "row")
     heads = rows.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= k + 1)
-    named = heads.join(classes.select("vector", "node"), "vector").select("node", "id", "row", "place")
-    return classes, stored(named, "class-heads")
+    grouped = heads.groupBy("h1", "h2").agg(
+        F.min_by("vector", "place").alias("vector"), F.array_sort(F.collect_list(F.struct("place", "id", "row"))).alias("heads"))
+    asked = rows.filter("query").select("h1", "h2").distinct().withColumn("asked", F.lit(True))
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
+    described = grouped.join(asked, ["h1", "h2"], "left").select(
+        "h1", "h2", "vector", "heads", F.coalesce("asked", F.lit(False)).alias("asked"), F.size("vector").alias("d"),
+        norm.alias("length"), F.get("heads", F.lit(0))["id"].alias("least"))
+    return stored(described.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
 
 
 def _met(classes: DataFrame, k: int, projections: int, width: float, growth: float, chance: float, block: int,
@@ -147,6 +157,7 @@ def _met(classes: DataFrame, k: int, projections: int, width: float, growth: flo
     sizes = stored(classes.groupBy("d").agg(
         F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.max("length").alias("longest"),
         F.greatest(F.ceil(F.sum(F.col("asked").cast("long")) / part), F.lit(1)).cast("int").alias("parts")), "vector-sizes")
+    # A block of a hash is a little larger than another; by half more than ``block`` it has as good as never.
     spread = F.xxhash64("node")
     own = classes.join(sizes, "d")
     members = own.select(
@@ -180,22 +191,24 @@ def search(rows: DataFrame, query: Column, k: int = NEAREST, id_column: str = "v
     own = rows.filter(usable(vector)).select(
         F.col(id_column).cast("long").alias("id"), F.transform(vector, lambda v: v.cast("double") + F.lit(0.0)).alias("vector"),
         F.coalesce(query, F.lit(False)).alias("query"))
-    own = stored(own.withColumn("row", F.monotonically_increasing_id()), "search-rows")
-    classes, heads = _classes(own, k)
+    own = own.select("*", F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(seed), "vector").alias("h2"),
+                     F.monotonically_increasing_id().alias("row"))
+    own = stored(own, "search-rows")
+    classes = _classes(own, k)
     met = stored(_met(classes, k, projections, width, growth, chance, block, part, seed), "block-nearest")
     best_classes = Window.partitionBy("q").orderBy(F.desc("score"), F.col("least").asc_nulls_last(), "node")
-    near = met.join(classes.select("node", "least"), "node").withColumn("r", F.row_number().over(best_classes)).filter(
-        F.col("r") <= k + 1).select("q", "node", "score")
-    best_rows = Window.partitionBy("q").orderBy(F.desc("score"), F.col("id").asc_nulls_last(), "place", "row")
-    # At most (k + 1) x (k + 1) rows for each asked class.
-    listed = near.join(heads, "node").withColumn("r", F.row_number().over(best_rows)).filter(F.col("r") <= k + 1)
-    lists = stored(listed.groupBy(F.col("q").alias("node")).agg(
-        F.array_sort(F.collect_list(F.struct("r", "id", "row", "score"))).alias("near")), "nearest-lists")
-    asked = own.filter("query").join(classes.select("vector", "node"), "vector").select("node", F.col("id").alias("query_id"), "row")
-    others = asked.join(lists, "node").select(
+    near = met.join(classes.select("node", "least", "heads"), "node").withColumn("r", F.row_number().over(best_classes)).filter(
+        F.col("r") <= k + 1)
+    # At most k + 1 classes of k + 1 rows for each asked class.
+    rows_of = F.transform("heads", lambda v: F.struct(
+        (-F.col("score")).alias("order"), v["id"].isNull().alias("nameless"), v["id"].alias("id"), v["place"].alias("place"), v["row"].alias("row")))
+    lists = near.groupBy("q").agg(F.slice(F.array_sort(F.flatten(F.collect_list(rows_of))), 1, k + 1).alias("near"))
+    asked = own.filter("query").join(classes.select("h1", "h2", F.col("node").alias("q")), ["h1", "h2"]).select(
+        "q", F.col("id").alias("query_id"), "row")
+    others = asked.join(lists, "q").select(
         "query_id", F.slice(F.filter("near", lambda v: v["row"] != F.col("row")), 1, k).alias("near"))
     return others.select("query_id", F.posexplode("near").alias("at", "v")).select(
-        "query_id", (F.col("at") + 1).alias("rank"), F.col("v.id").alias("id"), F.col("v.score").alias("score"))
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("v.id").alias("id"), (-F.col("v.order")).alias("score"))
 
 
 def nearest_vectors(rows: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Profiles of numeric and text columns. Quantiles are exact; see ``ordering.exact_quantiles``."""
+"""Profiles of numeric and text columns.
+
+Quantiles are exact (``ordering.exact_quantiles``) unless a rank error is allowed: then they come from one pass of sketches
+(``sketches``), without a shuffle of values.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridlens.functions.numeric import exact_avg, one_row, share_pct
 from gridlens.functions.text import is_blank, strip
+from gridlens.operators import sketches
 from gridlens.operators.cleaning import drop_null_measures, keep_positive
 from gridlens.operators.ordering import exact_quantiles, quantile_row
 from gridlens.roles import DEFAULT, Roles
@@ -25,9 +30,15 @@ def usable_measures(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
     return keep_positive(drop_null_measures(typed, roles), roles)
 
 
-def _one_quantile_row(df: DataFrame, columns: Sequence[str], chances: dict[float, str]) -> Column:
+def _one_quantile_row(df: DataFrame, columns: Sequence[str], chances: dict[float, str],
+                      relative_error: float | None = None) -> Column:
     names = {(c, p): f"{c}_{name}" for c in columns for p, name in chances.items()}
-    return one_row(settle(quantile_row(exact_quantiles(df, columns, list(chances)), names), "quantiles"))
+    if relative_error:
+        sketched = sketches.quantile_sketches(df, columns, size=sketches.size_for(relative_error))
+        found = sketches.sketch_quantiles(sketched, columns, list(chances))
+    else:
+        found = exact_quantiles(df, columns, list(chances))
+    return one_row(settle(quantile_row(found, names), "quantiles"))
 
 
 def _by_column(columns: Sequence[str], aggregates: dict[str, dict[str, Column]], df: DataFrame) -> DataFrame:
@@ -40,10 +51,11 @@ def _by_column(columns: Sequence[str], aggregates: dict[str, dict[str, Column]],
     return flat.select(rows.alias("_r")).select("_r.*")
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], extra: dict[float, str] | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str], extra: dict[float, str] | None = None,
+                     relative_error: float | None = None) -> DataFrame:
     """Mean, deviation, range, percentiles and the rows further than three deviations, per column."""
     chances = extra or PERCENTILES
-    quantiles = _one_quantile_row(df, columns, chances)
+    quantiles = _one_quantile_row(df, columns, chances, relative_error)
     spread = one_row(df.agg(
         *[exact_avg(c).alias(f"{c}_mean") for c in columns], *[F.stddev(c).alias(f"{c}_std") for c in columns]
     ))
@@ -144,9 +156,10 @@ def crosstab_wide(df: DataFrame, rows: str, columns: str, values: Sequence[str]
     return wide.orderBy("_margin", "_r").select(label.alias(rows), *[F.col(f"`{n}`") for n in names])
 
 
-def histogram_capped(df: DataFrame, column: str, bins: int = 80, cap_at: float = 0.99) -> DataFrame:
+def histogram_capped(df: DataFrame, column: str, bins: int = 80, cap_at: float = 0.99,
+                     relative_error: float | None = None) -> DataFrame:
     """Counts in equal bins between the minimum and the capped maximum; empty bins are included."""
-    top = _one_quantile_row(df, [column], {cap_at: "cap"})[f"{column}_cap"]
+    top = _one_quantile_row(df, [column], {cap_at: "cap"}, relative_error)[f"{column}_cap"]
     value = F.least(F.col(column), top)
     edges = one_row(df.agg(F.min(F.col(column).cast("double")).alias("low")))
     flat = edges["low"] == top
@@ -164,9 +177,10 @@ def histogram_capped(df: DataFrame, column: str, bins: int = 80, cap_at: float =
     ).orderBy("bin")
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str], whisker: float = 1.5,
+              relative_error: float | None = None) -> DataFrame:
     """Quartiles, fences at ``whisker`` interquartile ranges, whisker ends and the points outside."""
-    quartiles = _one_quantile_row(df, columns, QUARTILES)
+    quartiles = _one_quantile_row(df, columns, QUARTILES, relative_error)
 
     def aggregates(c: str) -> dict[str, Column]:
         q1, q3 = quartiles[f"{c}_q1"], quartiles[f"{c}_q3"]

@@ -8,20 +8,23 @@ from pyspark.sql.types import StructType
 from gridlens.roles import DEFAULT, Roles
 
 
-def kafka_options(servers: str, topic: str, starting: str = "earliest", max_offsets: int = 50_000) -> dict[str, str]:
+def kafka_options(servers: str, topic: str, starting: str = "earliest", max_offsets: int = 50_000,
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Lost offsets end the query unless ``fail_on_data_loss`` is turned off."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "maxOffsetsPerTrigger": str(max_offsets),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
-                 max_offsets: int = 50_000) -> DataFrame:
+                 max_offsets: int = 50_000, fail_on_data_loss: bool = True) -> DataFrame:
     """One topic as a stream. Needs the Kafka connector on the classpath."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting, max_offsets)).load()
+    options = kafka_options(servers, topic, starting, max_offsets, fail_on_data_loss)
+    return spark.readStream.format("kafka").options(**options).load()
 
 
 def replay_source(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridlens.operators.alerts import latest_per_key, merge_alerts
+from gridlens.streaming import alert_store
 
 LIVE_ANOMALIES = {"processingTime": "5 seconds"}
 LIVE_ALERTS = {"processingTime": "10 seconds"}
@@ -76,10 +77,14 @@ def upsert_alerts(alerts: DataFrame, folder: str, checkpoint: str, keep: int | N
                   trigger: dict | None = None) -> StreamingQuery:
     """Keep one table of all alerts in their latest state; ``latest_alerts`` cuts it on read.
 
-    Two slots take turns: a micro-batch merges the slot of the batch before into its own. A replayed batch
-    therefore finds its input unchanged, and superseded versions do not pile up. Folder and checkpoint belong together.
+    All alerts are stored by hour, and a micro-batch rewrites the hours it touches (``alert_store``). A table of the newest
+    ``keep`` is small and is rewritten whole, in two slots that take turns: a micro-batch merges the slot of the batch before
+    into its own. Either way a replayed batch finds its input unchanged. Folder and checkpoint belong together.
     """
     def work(batch: DataFrame, batch_id: int) -> None:
+        if keep is None:
+            alert_store.merge_batch(batch, folder, batch_id)
+            return
         stored = _slot(batch.sparkSession, folder, batch_id - 1)
         stored = batch.limit(0) if stored is None else stored.drop(VERSION)
         merged = merge_alerts(stored, batch, keep).withColumn(VERSION, F.lit(batch_id).cast("bigint"))
@@ -102,8 +107,13 @@ def _slot(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
 
 
 def stored_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest version written by ``upsert_alerts``."""
-    versions = spark.read.parquet(f"{folder}/slot-*")
+    """The table written by ``upsert_alerts``."""
+    try:
+        versions = spark.read.parquet(f"{folder}/slot-*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return alert_store.read_alerts(spark, folder)
     return versions.filter(F.col(VERSION) == versions.agg(F.max(VERSION)).scalar()).drop(VERSION)
 
 

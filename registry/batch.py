@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from gridlens import settle
+from gridlens.session import scratch_path
 from gridlens.functions.numeric import one_row
-from gridlens.operators import batch, quality
+from gridlens.operators import batch, partials, quality, sketches
 from gridlens.operators.cleaning import spread_of
 from registry import views
 from registry.catalog import check
@@ -140,3 +141,53 @@ def _(spark, folder):
         "ranking": batch.department_ranking(joined), "tendencia": batch.monthly_trend(joined),
         "tarifa_cartera": batch.rate_portfolio_analysis(joined),
     })
+
+
+def _states(spark, folder):
+    """States of all invoices, written in two runs, of which the second repeats the last months of the first."""
+    invoices = settle(views.invoices(spark, folder), "invoices")
+    path = scratch_path(spark, "states")
+    partials.store(invoices.filter(F.col(ROLES.period) < 199607), path)
+    partials.store(invoices.filter(F.col(ROLES.period) >= 199601), path)
+    return invoices, path
+
+
+@check("statistics_from_states", using("invoices", body=STATISTICS))
+def _(spark, folder):
+    _, path = _states(spark, folder)
+    return rounded(partials.statistics(partials.read(spark, path, partials.GROUPS)))
+
+
+@check("kpis_from_states", using("kpis", body="SELECT indicador, valor FROM kpis"))
+def _(spark, folder):
+    invoices, path = _states(spark, folder)
+    states = partials.read(spark, path, partials.GROUPS)
+    return partials.kpis(states, partials.exact_documents(spark, path), invoices.select(*ROLES.measures))
+
+
+@check("trend_from_states", using("invoices", body=f"SELECT PERIODO, {TOTALS} FROM invoices GROUP BY 1"))
+def _(spark, folder):
+    _, path = _states(spark, folder)
+    return partials.totals_by(partials.read(spark, path, partials.GROUPS), [ROLES.period])
+
+
+CHANCES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@check("quantiles_from_states", using("invoices", body="""
+SELECT columna, probabilidad, count(*) AS filas, true AS dentro
+FROM invoices, (SELECT unnest(['CONSUMO', 'IMPORTE']) AS columna), (SELECT unnest([0.01, 0.25, 0.5, 0.75, 0.99]) AS probabilidad)
+GROUP BY ALL""").replace("probabilidad, count", "CAST(probabilidad AS DOUBLE) AS probabilidad, count"))
+def _(spark, folder):
+    """Merged sketches, each value held against the ranks that all rows give it."""
+    invoices, path = _states(spark, folder)
+    found = partials.quantiles(spark, path, CHANCES).withColumnRenamed("valor", "cota")
+    error = sketches.rank_error()
+    values = invoices.unpivot([], list(ROLES.measures), "columna", "valor")
+    # Ten rows meet every value: the quantiles that were asked for.
+    ranks = values.join(F.broadcast(found), "columna").groupBy("columna", "probabilidad").agg(
+        F.count("*").alias("filas"), F.count_if(F.col("valor") < F.col("cota")).alias("menores"),
+        F.count_if(F.col("valor") <= F.col("cota")).alias("hasta"))
+    inside = (F.col("menores") / F.col("filas") - error <= F.col("probabilidad")) & (
+        F.col("probabilidad") <= F.col("hasta") / F.col("filas") + error)
+    return ranks.select("columna", "probabilidad", "filas", inside.alias("dentro"))

@@ -53,11 +53,26 @@ def _(spark, folder):
     return views.plain_times(queries.current_alerts(spark, out))
 
 
-@check("upsert_alerts", using("alerts", body="""
-SELECT * FROM alerts ORDER BY window_start DESC, DEPARTAMENTO, DISTRITO LIMIT 200"""))
+def _in_files(spark, folder, files=4):
+    """The events as files of consecutive times, each written after the one before, so that a stream takes them in turn."""
+    events = views.table(spark, folder, "events")
+    path = scratch_path(spark, "event-files")
+    cuts = events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [k / files for k in range(1, files)])).first()[0]
+    place = sum((F.unix_micros(F.col("ts").cast("timestamp")) > c).cast("int") for c in cuts)
+    for k in range(files):
+        events.filter(place == k).coalesce(1).write.mode("append").parquet(path)
+    return path, events.schema
+
+
+@check("upsert_alerts", using("alerts", body="SELECT * FROM alerts"))
 def _(spark, folder):
+    """Four micro-batches, so that state and stored hours cross them."""
+    path, schema = _in_files(spark, folder)
+    stream = views.as_events(replay_source(spark, path, schema, files_per_trigger=1))
+    alerts = hourly_alerts(stream.join(views.places(spark, folder), CUSTOMER, "left"), limit=HOURLY,
+                           generated_at=F.lit("2025-01-01").cast("timestamp"))
     out, state = scratch_path(spark, "newest"), scratch_path(spark, "newest-checkpoint")
-    queries.drain(queries.upsert_alerts(_alerts(spark, folder), out, state, trigger=queries.DRAIN))
+    queries.drain(queries.upsert_alerts(alerts, out, state, trigger=queries.DRAIN))
     return views.plain_times(queries.stored_alerts(spark, out))
 
 

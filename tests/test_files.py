@@ -222,7 +222,7 @@ def test_report_keeps_null_fields(spark, tmp_path):
 def test_kafka_settings(spark):
     options = streams.kafka_options("h:9092", "t")
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "50000"
-    assert options["subscribe"] == "t" and options["failOnDataLoss"] == "false"
+    assert options["subscribe"] == "t" and options["failOnDataLoss"] == "true"
     assert messages.producer_options("h:9092", "t")["topic"] == "t"
 
 

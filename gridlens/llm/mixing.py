@@ -8,9 +8,11 @@ for each time.
 Prefix sums of words run within (source, first digits of a hash), never within a whole source, so a source that holds a
 third of all rows is spread over thousands of groups; one small row per group carries the sums before it.
 
-Defined cases: a null text has size 0 and is never taken; null sources are one source, after all others; null ids and
-repeated rows are ordinary rows (ties in the order are equal rows); with no words at all every target is 0; an empty table
-gives an empty result; columns whose names clash with helper columns are kept.
+Defined cases: a null text has size 0 and is never taken, nor is an empty or blank one; null sources are one source, after all
+others; the order of a source goes by a hash of id and text, so rows of one id (or none) are ordered by their texts and spread
+over the groups, rows that tie are equal and reruns agree however the table is laid out; a very long text is one row of its size;
+with no words at all every target is 0; an empty table gives an empty result; columns whose names clash with helper columns are
+kept.
 """
 
 from __future__ import annotations
@@ -95,7 +97,9 @@ def assign(docs: DataFrame, size: str, order: str, source: str = "source", weigh
     """
     group, key, before, inside, place, all_words, goal = fresh(
         docs, "_group", "_source", "_before", "_inside", "_place", "_all", "_goal")
-    keyed = docs.withColumn(group, F.substring(order, 1, GROUP_DIGITS))
+    # Rows without words add nothing wherever they stand, so a third of all rows without text is spread over all groups.
+    nowhere = F.lpad(F.hex(F.pmod(F.monotonically_increasing_id(), F.lit(16 ** GROUP_DIGITS))), GROUP_DIGITS, "0")
+    keyed = docs.withColumn(group, F.when(F.col(size) > 0, F.substring(order, 1, GROUP_DIGITS)).otherwise(F.lower(nowhere)))
     sums = stored(keyed.groupBy(F.col(source).alias(key), F.col(group)).agg(F.sum(size).alias(inside)), "mix-sums")
     targets = source_targets(sums, key, inside, weights, max_repeats).select(
         F.col(key).alias("_s"), F.col("place").alias(place), F.col("source_size").alias(all_words), F.col("target").alias(goal))
@@ -125,9 +129,10 @@ def assign(docs: DataFrame, size: str, order: str, source: str = "source", weigh
         taken.cast("long").alias("taken"), times.alias("due_times"))
 
 
-def order_key(*columns: str):
-    """Hex order of the documents of a source, the same on every run."""
-    return F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]))
+def order_key(*columns: str, text: str = "text"):
+    """Hex order of the documents of a source, the same on every run: by a hash of ``columns`` and the text."""
+    parts = [*[F.col(c).cast("string") for c in columns], F.md5(F.col(text))]
+    return F.md5(F.concat_ws("\x1f", *[F.coalesce(p, F.lit("\x00")) for p in parts]))
 
 
 def lay_out(assigned: DataFrame, time: str = "due_time") -> DataFrame:
@@ -139,7 +144,7 @@ def lay_out(assigned: DataFrame, time: str = "due_time") -> DataFrame:
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Documents in training order, repeated as often as they are due, with all their columns and nothing else."""
     size, order, due = fresh(docs, "_size", "_order", "_due")
-    sized = docs.withColumn(size, word_count(text)).withColumn(order, order_key(*key))
+    sized = docs.withColumn(size, word_count(text)).withColumn(order, order_key(*key, text=text))
     clash = [c for c in docs.columns if c in ("source_size", "target", "taken", "due_times")]
     renamed = sized.withColumnsRenamed({c: f"_own_{c}" for c in clash})
     placed = lay_out(assign(renamed, size, order, source), due)
@@ -167,7 +172,7 @@ def sql() -> str:
     return f"""
     WITH sized AS (
         SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-               md5(coalesce(CAST(doc_id AS VARCHAR), chr(0))) AS k FROM documents),
+               md5(coalesce(CAST(doc_id AS VARCHAR), chr(0)) || chr(31) || coalesce(md5(text), chr(0))) AS k FROM documents),
     totals AS (
         SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
                row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place FROM sized GROUP BY source),

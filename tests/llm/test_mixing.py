@@ -72,3 +72,21 @@ def test_training_order_follows_due_times(documents):
     sized = documents.select("source", F.length("text").alias("size"), mixing.order_key("doc_id").alias("k"))
     times = [r[0] for r in mixing.lay_out(mixing.assign(sized, "size", "k")).select("due_time").collect()]
     assert times == sorted(times)
+
+
+def test_one_id_and_other_texts_in_two_layouts(spark):
+    """A third of the rows without id, ids repeated: what is taken does not depend on where rows stand."""
+    rows = [(None if k % 3 == 0 else k % 17, "word " * (k % 23), "abc"[k % 3 if k % 5 else 0], k) for k in range(600)]
+    schema = "doc_id long, text string, source string, k int"
+    one = spark.createDataFrame(rows, schema).coalesce(1)
+    two = spark.createDataFrame(rows[::-1], schema).repartition(7, "k")
+
+    def taken(df):
+        columns = ("doc_id", "size", "source_size", "target", "taken", "first_due")
+        return sorted(map(tuple, mixing.mix_sizes(df).select(*columns).collect()), key=repr)
+
+    def laid_out(df):
+        return sorted((r.text, r.k % 23) for r in mixing.mix(df).select("text", "k").collect())
+
+    assert taken(one) == taken(two)
+    assert [t for t, _ in laid_out(one)] == [t for t, _ in laid_out(two)]

@@ -2,21 +2,25 @@
 
 Coarse centroids and the codebooks of the residuals' subspaces are fitted on ``SAMPLE`` vectors at most; every vector is
 indexed. A vector lies in the inverted list of its nearest centroid and is looked for in every list whose border is
-within ``MARGIN`` standard deviations of the distance of a linked pair: there is no limit on the number of probes. In a
+within half the distance of a linked pair: there is no limit on the number of probes. Two linked vectors in two lists lie on
+either side of the border, so one of them is that near to it and no link is lost, however the vectors are spread. In a
 list the distance to each code comes from tables (asymmetric: the query is not quantised) and a pair stays a candidate
 unless code distance and quantisation error together prove it too far; candidates are reranked by the exact cosine.
 
 Equal vectors of a label are one class with a count. Large lists are met block by block, and a block returns counts and
 the links of its components' trees, never its pairs.
 
-Defined cases: vectors that are null, zero, of another length than most, or that hold null or non-finite components link
-with nothing, nor do vectors with a null label; repeated ids are vectors of their own; vectors with a null id link and
+Lengths are fitted together up to the next power of two, shorter vectors filled up with zeros, which no cosine feels.
+
+Defined cases: vectors that are null, zero, or that hold null or non-finite components link with nothing, nor do vectors with a
+null label or of different lengths; extra columns are not looked at; repeated ids are vectors of their own; vectors with a null id link and
 count, and a component of null ids only has a null component_id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,8 +32,6 @@ from gridlens.llm.components import components
 COSINE = 0.93
 SAMPLE = 16_384
 SUBSPACES, CODES = 8, 64
-#: Standard deviations of a linked pair's difference, along any direction, that a probe reaches beyond a list's border.
-MARGIN = 3.0
 ROUNDS = 8
 #: Vectors of a list, and vectors looked for in it, that meet in one task.
 LIST_BLOCK, QUERY_BLOCK = 2048, 8192
@@ -78,7 +80,7 @@ class Index:
         between = np.sqrt(np.maximum(((self.centres[:, None] - self.centres[None]) ** 2).sum(2), 1e-18))
         gap = (d - d[np.arange(len(x)), own][:, None]) / (2 * between[own])
         gap[np.arange(len(x)), own] = 0.0
-        return own, gap <= MARGIN * self.reach / np.sqrt(x.shape[1])
+        return own, gap <= self.reach / 2 + 1e-9
 
     def codes(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of each residual and the distance to what they stand for."""
@@ -117,8 +119,11 @@ def fit(sample: np.ndarray, rows: int, cosine: float, seed: int = 11) -> Index:
     return Index(centres, books, cosine)
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
-    x = np.stack(vectors).astype(float)
+def _unit(vectors: pd.Series, width: int) -> np.ndarray:
+    """Vectors of length 1, filled up with zeros to ``width``."""
+    x = np.zeros((len(vectors), width))
+    for row, v in zip(x, vectors):
+        row[:len(v)] = v
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -132,32 +137,35 @@ def usable(vector: str | Column) -> Column:
 def _links(classes: DataFrame, index: Index) -> DataFrame:
     """node, links (vectors linked, copies counted), root (smallest class of the block's component), per block."""
     plain = (index.centres, index.books, index.cosine)
+    width, lists = index.centres.shape[1], len(index.centres)
 
     @F.pandas_udf("struct<own: int, probes: array<int>>")
     def place(vectors: pd.Series) -> pd.DataFrame:
-        own, looked = Index(*plain).probes(_unit(vectors))
+        own, looked = Index(*plain).probes(_unit(vectors, width))
         return pd.DataFrame({"own": own, "probes": [np.flatnonzero(r) for r in looked]})
 
     placed = stored(classes.withColumn("at", place("vector")), "placed")
-    members = placed.select("label", F.col("at.own").alias("list"), "node", "n", "vector")
-    queries = placed.select("label", F.explode("at.probes").alias("list"), "node", "n", "vector")
-    sizes = members.groupBy("label", "list").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
-    asked = queries.groupBy("label", "list").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts"))
-    sizes = stored(sizes.join(asked, ["label", "list"]), "list-sizes")
+    members = placed.select("label", "d", F.col("at.own").alias("list"), "node", "n", "vector", F.col("at.probes").alias("probes"))
+    queries = placed.select("label", "d", F.explode("at.probes").alias("list"), "node", "n", "vector", F.col("at.own").alias("own"))
+    group = ["label", "d", "list"]
+    sizes = members.groupBy(*group).agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
+    asked = queries.groupBy(*group).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts"))
+    sizes = stored(sizes.join(asked, group), "list-sizes")
     spread = F.xxhash64("node")
-    members = members.join(sizes, ["label", "list"]).select(
-        "label", "list", F.pmod(spread, "blocks").cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node", "n", "vector")
-    queries = queries.join(sizes, ["label", "list"]).select(
-        "label", "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(spread, "parts").cast("int").alias("part"), "node", "n", "vector")
+    members = members.join(sizes, group).select(
+        *group, F.pmod(spread, "blocks").cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node", "n", "vector", "probes")
+    queries = queries.join(sizes, group).select(
+        *group, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(spread, "parts").cast("int").alias("part"), "node", "n", "vector", "own")
     queries = queries.toDF(*[f"q_{c}" for c in queries.columns])
 
     def meet(key: tuple, m: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"node": pd.Series(dtype="int64"), "links": pd.Series(dtype="int64"), "root": pd.Series(dtype="int64")})
         if not len(m) or not len(q):
             return none
-        i, j = Index(*plain).near(_unit(q["q_vector"]), _unit(m["vector"]), int(key[1]))
+        here = int(key[2])
+        i, j = Index(*plain).near(_unit(q["q_vector"], width), _unit(m["vector"], width), here)
         a, b = q["q_node"].to_numpy(), m["node"].to_numpy()
         i, j = i[a[i] != b[j]], j[a[i] != b[j]]
         if not len(i):
@@ -173,33 +181,48 @@ def _links(classes: DataFrame, index: Index) -> DataFrame:
             if (low == root).all():
                 break
             root = low
-        links = np.bincount(left, m["n"].to_numpy()[j], len(nodes)).astype(np.int64)
+        links = np.bincount(left, m["n"].to_numpy()[j], len(nodes))
+        # A member that does not look into the query's list is credited here, all others where they look.
+        looks = np.zeros((len(m), lists), bool)
+        for row, probed in zip(looks, m["probes"]):
+            row[probed] = True
+        once = ~looks[j, q["q_own"].to_numpy()[i]]
+        links += np.bincount(right[once], q["q_n"].to_numpy()[i[once]], len(nodes))
         met = np.unique(np.concatenate((left, right)))
-        return pd.DataFrame({"node": nodes[met], "links": links[met], "root": nodes[root[met]]})
+        return pd.DataFrame({"node": nodes[met], "links": links[met].astype(np.int64), "root": nodes[root[met]]})
 
-    keys = ["label", "list", "block", "part"]
+    keys = [*group, "block", "part"]
     return members.groupBy(*keys).cogroup(queries.groupBy(*[f"q_{k}" for k in keys])).applyInPandas(meet, "node long, links long, root long")
 
 
+def _sizes(classes: DataFrame) -> list[tuple[int, int, int]]:
+    """Least and greatest length, and number, of the vectors of each group of lengths (a power of two each)."""
+    power = F.ceil(F.log2("d"))
+    rows = classes.groupBy(power.alias("power")).agg(F.min("d").alias("least"), F.max("d").alias("most"), F.count("*").alias("n"))
+    return [(r["least"], r["most"], r["n"]) for r in rows.collect()]
+
+
 def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embedding", label: str = "label",
                  cosine: float = COSINE) -> DataFrame:
     """id, n_links, component_id, kept for every row."""
     own = rows.select(F.col(id_column).alias("id"), F.col(vector).alias("vector"), F.col(label).alias("label"))
-    length = own.filter(usable("vector")).groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(
-        F.desc("n"), "d").limit(1).collect()
-    good = usable("vector") & F.col("label").isNotNull() & (F.size("vector") == (length[0].d if length else 0))
+    good = usable("vector") & F.col("label").isNotNull()
     grouped = own.filter(good).groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("n"))
-    classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
-    count = classes.count()
+    classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()).withColumn("d", F.size("vector")), "vector-classes")
+    sizes = _sizes(classes)
     out = own.select("id", "vector", "label", F.coalesce(good, F.lit(False)).alias("good"))
-    if not count:
+    if not sizes:
         return out.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
 
-    parts = max(1, -(-count // SAMPLE))
-    sample = classes.filter(F.pmod(F.xxhash64("node"), F.lit(parts)) == 0).select("vector").toPandas()
-    sample = sample if len(sample) else classes.limit(1).select("vector").toPandas()
-    index = fit(_unit(sample["vector"]), count, cosine)
-    met = stored(_links(classes, index), "links-of-blocks")
+    parts = []
+    for shortest, width, count in sizes:
+        some = classes.filter(F.col("d").between(shortest, width))
+        share = max(1, -(-count // SAMPLE))
+        sample = some.filter(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).select("vector").toPandas()
+        sample = sample if len(sample) else some.limit(1).select("vector").toPandas()
+        index = fit(_unit(sample["vector"], width), count, cosine)
+        parts.append(stored(_links(some, index), "links-of-blocks"))
+    met = reduce(DataFrame.union, parts)
     links = met.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(met.filter("node <> root"), "node", "root")
     described = classes.join(links, "node", "left").join(joined, "node", "left").select(

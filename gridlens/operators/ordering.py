@@ -43,6 +43,46 @@ def add_sequence(df: DataFrame, order_by: Sequence[str | Column], name: str = "s
     return joined.select(*df.columns, position.alias(name))
 
 
+#: Ranges of the sort key whose rows are counted to find a cut, and rows that are drawn to find the ranges.
+CUT_RANGES, CUT_SAMPLE = 64, 4096
+
+
+def first_rows(df: DataFrame, order_by: Sequence[str | Column], n: int | Column, name: str = "secuencia",
+               per: Sequence[str] = (), ranges: int = CUT_RANGES) -> DataFrame:
+    """The first ``n`` rows by ``order_by``, of each ``per`` group, numbered like ``add_sequence`` numbers them.
+
+    Rows are counted by ranges of their key first. Only those up to the range that holds the n-th are shuffled and written:
+    ``n`` and at most one range more, however long the table is. The table is read three times, so give a stored one. The
+    ranges come from a bounded draw, which decides how many rows are too many and not which rows are right.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in [*per, *order_by]]
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    # Copies of a row are drawn each by itself.
+    drawn = df.select(key.alias("_k"), F.monotonically_increasing_id().alias("_row"))
+    drawn = drawn.orderBy(F.xxhash64("_k", "_row")).limit(CUT_SAMPLE)
+    listed = drawn.agg(F.array_sort(F.collect_list("_k")).alias("_all"))
+    picked = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get(
+        "_all", F.floor(i * F.size("_all") / F.lit(ranges)).cast("int")))
+    edges = settle(listed.select(F.array_distinct(F.filter(picked, lambda k: k.isNotNull())).alias("_edges")), "cut-edges")
+    place = F.size(F.filter("_edges", lambda edge: edge < F.col("_key"))).alias("_range")
+
+    def with_range(*columns: str) -> DataFrame:
+        return df.select(*columns, key.alias("_key"), edges.scalar().alias("_edges")).select(*columns, place)
+
+    counted = with_range(*per).groupBy(*per, "_range").agg(F.count("*").alias("_size"))
+    counted = settle(counted.withColumn("_before", _sum_before("_size", per, "_range")), "cut-counts")
+    wanted = F.lit(n) if isinstance(n, int) else n
+    cuts = counted.filter(F.col("_before") < wanted).groupBy(*[F.col(c).alias(f"_cut_{c}") for c in per]).agg(F.max("_range").alias("_last"))
+    placed = with_range(*df.columns)
+    if per:
+        same = [F.col(c).eqNullSafe(F.col(f"_cut_{c}")) for c in per]
+        kept = placed.join(settle(cuts, "cuts"), reduce(lambda a, b: a & b, same)).filter(F.col("_range") <= F.col("_last"))
+    else:
+        kept = placed.filter(F.col("_range") <= cuts.scalar())
+    numbered = add_sequence(kept.select(*df.columns), order_by, name, per)
+    return numbered.filter(F.col(name) <= wanted)
+
+
 def _sum_before(measure: str, per: Sequence[str], order: str) -> Column:
     """Running total of the earlier rows. Used on span tables only: one row per range and group."""
     window = Window.partitionBy(*per).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

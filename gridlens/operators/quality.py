@@ -123,3 +123,14 @@ def check_latency(seconds: float, precision_pct: float | None = None) -> dict[st
         "oe3_precision_cumplido": precise,
         "oe3_cumplido": fast and (precise or precision_pct is None),
     }
+
+
+def flags_section(checks: dict[str, DataFrame], section: str = "validez") -> DataFrame:
+    """The verdicts of one-row checks as rows of a KPI report (seccion, clave, indicador, valor): 1 for met, 0 for not."""
+    def rows(name: str, check: DataFrame) -> DataFrame:
+        flags = [c for c, kind in check.dtypes if kind == "boolean"]
+        wide = check.select(*[F.col(c).cast("double").alias(c) for c in flags])
+        return wide.unpivot([], flags, "indicador", "valor").select(
+            F.lit(section).alias("seccion"), F.lit(name).alias("clave"), "indicador", "valor")
+
+    return reduce(DataFrame.unionByName, [rows(name, check) for name, check in checks.items()])

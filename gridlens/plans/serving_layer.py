@@ -25,7 +25,8 @@ def serve(anomalies: DataFrame, dim: DataFrame, centroids: DataFrame, trend: Dat
         "check_anomaly_fact": quality.check_anomaly_fact(fact),
         "check_outputs": quality.check_outputs({"fact": fact, **summaries}),
     }
-    write_report(serving.kpi_report(fact), f"{out}/reporte_kpis")
+    report = serving.kpi_report(fact).unionByName(quality.flags_section(checks))
+    write_report(report, f"{out}/reporte_kpis")
     export_dashboard_tables(
         serving.dashboard_tables(fact, dim, centroids, trend, roles=roles), f"{out}/dashboard_data"
     )

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gridlens import vocabulary as v
 from gridlens.operators import scoring
 from gridlens.operators.alerts import hourly_alerts
 from gridlens.roles import DEFAULT, Roles
-from gridlens.streaming import queries
+from gridlens.operators.serving import region_hourly_accumulation
+from gridlens.sinks.files import write_report
+from gridlens.streaming import queries, versions
+from gridlens.streaming.progress import check_latencies, latency_report, read_progress
 
 
 def anomalies(events: DataFrame, stats: DataFrame, dim: DataFrame | None = None, roles: Roles = DEFAULT,
@@ -45,3 +48,23 @@ def start_live(records: DataFrame, stats: DataFrame, dim: DataFrame | None, out:
             alerts, alert_servers, alert_topic, f"{checkpoints}/alert-topic", trigger
         ))
     return started
+
+
+def start_versioned(records: DataFrame, statistics: str, out: str, checkpoint: str, roles: Roles = DEFAULT,
+                    critical: float = v.CRITICAL_KWH, trigger: dict | None = None) -> StreamingQuery:
+    """Anomalies scored with the newest published statistics (``versions.publish``) of each micro-batch."""
+    events = scoring.parse_event(records, roles)
+    return versions.with_versions(
+        events, statistics, lambda batch, stats: anomalies(batch, stats, roles=roles, critical=critical), out, checkpoint, trigger)
+
+
+def report_speed_layer(spark: SparkSession, progress: str, found: DataFrame, out: str,
+                       district: str = "distrito") -> dict[str, DataFrame]:
+    """Store the latency of every query with its gate, and the consumption of each district by hour of the day."""
+    tables = {
+        "reporte_latencia": check_latencies(latency_report(read_progress(spark, progress))),
+        "acumulado_horario": region_hourly_accumulation(found, district=district),
+    }
+    for name, table in tables.items():
+        write_report(table, f"{out}/{name}")
+    return {name: spark.read.schema(table.schema).json(f"{out}/{name}") for name, table in tables.items()}

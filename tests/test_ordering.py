@@ -106,3 +106,37 @@ def test_replay_order(spark):
     wrapped = event_envelope(df, "20250101_000000").select("_id_evento", "datos.NRO_DOC_FAC")
     assert sorted(rows(wrapped)) == [(f"SIM-20250101_000000-{i:08d}", k) for i, k in enumerate(order, 1)]
     assert len(rows(event_envelope(df, "x", max_events=2))) == 2
+
+
+@pytest.mark.parametrize("n", [1, 7, 250, 5000])
+def test_first_rows_equal_the_first_numbers(spark, n):
+    from pyspark.sql import functions as F
+
+    from gridlens.operators import ordering
+
+    raw = spark.range(3000).select(
+        F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 40).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("b"),
+        F.when(F.col("id") % 2 == 0, F.lit("s")).when(F.col("id") % 5 == 0, None).otherwise((F.col("id") % 9).cast("string")).alias("s"))
+    table = settle(raw.repartition(6), "rows")
+    for per in ([], ["s"]):
+        order = ["b", "a"]
+        every = ordering.add_sequence(table, [*order, "s"], "n", per).filter(F.col("n") <= n)
+        first = ordering.first_rows(table, [*order, "s"], n, "n", per)
+        assert sorted(map(repr, first.collect())) == sorted(map(repr, every.collect()))
+
+
+def test_first_rows_write_few(spark, monkeypatch):
+    """Beyond the wanted rows only one range of the key is shuffled and written."""
+    from pyspark.sql import functions as F
+
+    from gridlens.operators import ordering
+
+    seen = []
+    number = ordering.add_sequence
+    monkeypatch.setattr(ordering, "add_sequence", lambda df, *a, **k: (seen.append(df.count()), number(df, *a, **k))[1])
+    table = settle(spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("v")), "values")
+    assert ordering.first_rows(table, ["v"], 100).count() == 100
+    assert seen[0] < 1500
+    assert ordering.first_rows(table.limit(0), ["v"], 100).count() == 0
+    assert ordering.first_rows(table.limit(3), ["v"], 100).count() == 3

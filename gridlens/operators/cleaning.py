@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 from gridlens.functions.numeric import finite_or_null, one_row, share_pct
 from gridlens.functions.text import clean_header, strip_upper
 from gridlens.roles import DEFAULT, Roles
+from gridlens.session import settle
 
 
 def normalise_headers(df: DataFrame) -> DataFrame:
@@ -80,8 +81,11 @@ def _kept(df: DataFrame, roles: Roles) -> DataFrame:
 
 
 def clean(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:
-    """Type, drop unusable rows, standardise text, flag outliers."""
-    return mark_outliers(standardise_text(_kept(df, roles)), roles)
+    """Type, drop unusable rows, standardise text, flag outliers.
+
+    The typed rows are written once, so the spread takes two stored columns and the raw rows are parsed once.
+    """
+    return mark_outliers(settle(standardise_text(_kept(df, roles)), "typed"), roles)
 
 
 def clean_counts(df: DataFrame, roles: Roles = DEFAULT) -> DataFrame:

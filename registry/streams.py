@@ -7,7 +7,8 @@ from gridlens.operators.alerts import hourly_alerts
 from gridlens.plans.speed_layer import anomalies
 from gridlens.session import scratch_path
 from gridlens.sources.streams import as_kafka_records, replay_source
-from gridlens.streaming import queries
+from gridlens.streaming import queries, versions
+from gridlens.streaming.progress import ProgressLog, check_latencies, latency_report, read_progress
 from registry import views
 from registry.catalog import check
 from registry.scoring import std4
@@ -76,6 +77,38 @@ def _(spark, folder):
     return views.plain_times(queries.stored_alerts(spark, out))
 
 
+@check("batch_progress", """
+SELECT 'avisos' AS nombre, CAST(4 AS BIGINT) AS lotes, count(*) AS filas, true AS medido FROM events""")
+def _(spark, folder):
+    """Each of four micro-batches is a row of the progress table; the seconds are Spark's own."""
+    path, schema = _in_files(spark, folder)
+    alerts = hourly_alerts(views.as_events(replay_source(spark, path, schema, files_per_trigger=1)).join(
+        views.places(spark, folder), CUSTOMER, "left"), limit=HOURLY)
+    table, out, state = (scratch_path(spark, f"progress-{x}") for x in ("table", "alerts", "checkpoint"))
+    with ProgressLog(spark, table) as log:
+        queries.drain(log.expect(
+            alerts.writeStream.queryName("avisos").format("parquet").option("path", out).option("checkpointLocation", state)
+            .trigger(**queries.DRAIN).start()))
+    report = check_latencies(latency_report(read_progress(spark, table)))
+    measured = (F.col("p50_segundos") > 0) & (F.col("p95_segundos") <= F.col("max_segundos")) & F.col("oe3_latencia_cumplido").isNotNull()
+    return report.select("nombre", "lotes", "filas", measured.alias("medido"))
+
+
+@check("versioned_statistics", using("scored", body="""
+SELECT NRO_DOC_FAC, zscore_consumo, CAST(2 AS BIGINT) AS version FROM scored"""))
+def _(spark, folder):
+    """The stream is scored with the statistics published last, not with the empty ones before."""
+    stats = views.statistics(spark, folder)
+    published = scratch_path(spark, "published")
+    versions.publish(stats.limit(0), published)
+    versions.publish(stats, published)
+    events = scoring.parse_event(_messages(spark, folder))
+    out, state = scratch_path(spark, "versioned"), scratch_path(spark, "versioned-checkpoint")
+    queries.drain(versions.with_versions(
+        events, published, lambda batch, now: scoring.enrich_events(batch, now).select(ROLES.document, "zscore_consumo"), out, state, queries.DRAIN))
+    return spark.read.option("basePath", out).parquet(out).drop("batch_id")
+
+
 FACT = using("fact", body="""
 SELECT * EXCLUDE (fecha_deteccion) REPLACE (round(desviacion_consumo, 4) AS desviacion_consumo,
   'ANOM-' || md5(nro_doc_fac || '|' || periodo || '|' || CAST(consumo_actual AS VARCHAR)) AS id_anomalia) FROM fact""")

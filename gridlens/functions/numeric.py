@@ -13,25 +13,42 @@ def _col(value: str | Column) -> Column:
 EXACT_LIMIT = float(1 << 32)
 
 
-def exact_sum(measure: str | Column, digits: int = 6) -> Column:
-    """Sum of a double measure, exact to ``digits`` decimals and independent of partition order.
-
-    Whole units and the decimals are summed as two longs, which costs the same as a double sum, and are
-    put together once per group. Two groupings of the same rows therefore always reconcile. Values beyond
-    ``EXACT_LIMIT``, infinities and NaN are summed as doubles, with the result a plain sum would have.
-    """
+def _parts(measure: str | Column, digits: int) -> tuple[Column, Column, Column]:
+    """Whole units, decimals as whole numbers, and values beyond ``EXACT_LIMIT``."""
     every = _col(measure).cast("double")
     small = F.abs(every) < EXACT_LIMIT
     value = F.when(small, every)
     whole = F.floor(value)
-    decimals = F.rint((value - whole) * F.lit(10.0 ** digits)).cast("bigint")
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(decimals).cast("decimal(20,0)") * F.lit(
+    return whole, F.rint((value - whole) * F.lit(10.0 ** digits)).cast("bigint"), F.when(~small, every)
+
+
+def _put_together(whole: Column, decimals: Column, rest: Column, digits: int) -> Column:
+    total = whole.cast("decimal(20,0)") + decimals.cast("decimal(20,0)") * F.lit(
         f"{10.0 ** -digits:.{digits}f}"
     ).cast(f"decimal({digits + 1},{digits})")
-    rest = F.sum(F.when(~small, every))
     return F.when(rest.isNull(), total.cast("double")).otherwise(F.coalesce(total.cast("double"), F.lit(0.0)) + rest)
 
 
+def exact_sum(measure: str | Column, digits: int = 6) -> Column:
+    """Sum of a double measure, exact to ``digits`` decimals and independent of partition order.
+
+    Whole units and the decimals are summed as two longs, which costs the same as a double sum, and are
+    put together once per group. Two groupings of the same rows therefore always reconcile. Values beyond
+    ``EXACT_LIMIT``, infinities and NaN are summed as doubles, with the result a plain sum would have.
+    """
+    return _put_together(*[F.sum(part) for part in _parts(measure, digits)], digits)
+
+
+def exact_sum_parts(measure: str, digits: int = 6) -> list[Column]:
+    """Aggregates that hold an exact sum in columns that can be added up again: see ``exact_sum_of``."""
+    return [F.sum(part).alias(f"{measure}__{name}") for name, part in zip(("whole", "decimals", "rest"), _parts(measure, digits))]
+
+
+def exact_sum_of(measure: str, digits: int = 6) -> Column:
+    """The exact sum over rows of ``exact_sum_parts``."""
+    return _put_together(*[F.sum(f"{measure}__{name}") for name in ("whole", "decimals", "rest")], digits)
+
+
 def exact_avg(measure: str | Column) -> Column:
     """Mean over non-null rows, from the exact sum; null for an all-null group."""
     count = F.count(_col(measure))

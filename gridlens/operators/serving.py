@@ -10,7 +10,9 @@ from gridlens import vocabulary as v
 from gridlens.functions.numeric import exact_avg, exact_sum, finite_or_null, share_pct
 from gridlens.functions.rules import heatmap_risk
 from gridlens.functions.text import pad_geo_code
+from gridlens.operators import rollup
 from gridlens.roles import DEFAULT, Roles
+from gridlens.session import settle
 
 
 def _extreme() -> Column:
@@ -68,35 +70,22 @@ def top5_critical(summary: DataFrame, k: int = 5) -> DataFrame:
     return summary.orderBy(F.desc("total_anomalias"), by).limit(k).select(by, "total_anomalias", "promedio_zscore")
 
 
-GENERAL = "resumen_general"
+def kpi_report(fact: DataFrame, k: int = 5, base: DataFrame | None = None) -> DataFrame:
+    """The whole report as rows (seccion, clave, indicador, valor), so no section has to fit in one row.
 
-
-def kpi_report(fact: DataFrame, k: int = 5) -> DataFrame:
-    """The whole report as rows (seccion, clave, indicador, valor), so no section has to fit in one row."""
-    general = fact.agg(
-        F.count("*").cast("double").alias("total_anomalias_detectadas"),
-        F.round(exact_avg("zscore_consumo"), 4).alias("promedio_zscore_global"),
-        F.round(F.max("zscore_consumo"), 4).alias("max_zscore_global"),
-        share_pct(F.count_if(F.col("nivel_riesgo") == v.RISK_HIGH), F.count("*")).alias("pct_anomalias_nivel_alto"),
-        share_pct(F.count_if(F.col("flag_anomalia")), F.count("*")).alias("pct_flag_true"),
-        F.count_if(F.col("zscore_consumo").isNull()).cast("double").alias("nulos_zscore"),
-    )
-    # Several distinct counts multiply every row; here they only multiply the distinct groups.
-    affected = fact.select("distrito", "tarifa", "cartera").distinct().agg(
-        F.countDistinct("distrito").cast("double").alias("total_distritos_afectados"),
-        F.countDistinct("tarifa").cast("double").alias("total_tarifas_afectadas"),
-        F.countDistinct("cartera").cast("double").alias("total_carteras_afectadas"),
-    )
+    The fact is read once, into ``rollup``; every section is projected from that (``base``, where it is there already).
+    """
+    base = settle(rollup.rollup(fact), "anomaly-rollup") if base is None else base
     sections = [
         part.unpivot([], part.columns, "indicador", "valor")
-        .select(F.lit(GENERAL).alias("seccion"), F.lit("").alias("clave"), "indicador", "valor")
-        for part in (general, affected)
+        .select(F.lit(rollup.GENERAL).alias("seccion"), F.lit("").alias("clave"), "indicador", "valor")
+        for part in (rollup.general(base), rollup.affected(base))
     ]
     for section, column in (("distribucion_tipo_anomalia", "tipo_anomalia"), ("distribucion_nivel_riesgo", "nivel_riesgo")):
-        sections.append(_as_section(distribution(fact, column), section))
+        sections.append(_as_section(rollup.distribution(base, column), section))
     for section, column in (("top_5_distritos_criticos", "distrito"), ("top_5_tarifas_criticas", "tarifa")):
-        sections.append(_as_section(top5_critical(anomaly_summary(fact, column), k), section))
-    sections.append(_as_section(anomaly_summary(fact, "cartera"), "resumen_cartera"))
+        sections.append(_as_section(top5_critical(rollup.summary(base, column), k), section))
+    sections.append(_as_section(rollup.summary(base, "cartera"), "resumen_cartera"))
     report, *others = sections
     for section in others:
         report = report.unionByName(section)
@@ -177,10 +166,14 @@ EXTREME_ROWS = "Anomalia real (z>3)"
 
 def risk_split(fact: DataFrame) -> DataFrame:
     """Two rows: normal and extreme, with their shares."""
-    counts = fact.agg(
+    return _split(fact.agg(
         F.count_if(F.abs("zscore_consumo") <= v.Z_EXTREME).alias(NORMAL_ROWS),
         F.count_if(_extreme()).alias(EXTREME_ROWS),
-    ).withColumn("_all", F.col(f"`{NORMAL_ROWS}`") + F.col(f"`{EXTREME_ROWS}`"))
+    ))
+
+
+def _split(counts: DataFrame) -> DataFrame:
+    counts = counts.withColumn("_all", F.col(f"`{NORMAL_ROWS}`") + F.col(f"`{EXTREME_ROWS}`"))
     return counts.unpivot(["_all"], [F.col(f"`{NORMAL_ROWS}`"), F.col(f"`{EXTREME_ROWS}`")],
                           "nivel_riesgo", "cantidad").select(
         "nivel_riesgo", "cantidad", share_pct(F.col("cantidad"), F.col("_all")).alias("pct")
@@ -238,20 +231,23 @@ def events_per_day(events: DataFrame, issued: str = DEFAULT.issued) -> DataFrame
 
 
 def dashboard_tables(fact: DataFrame, dim: DataFrame, centroids: DataFrame, trend: DataFrame,
-                     validity_pct: Column | None = None, roles: Roles = DEFAULT) -> dict[str, DataFrame]:
-    """The tables a front end reads, by file name."""
-    heatmap = district_heatmap_join(district_heatmap(fact), district_places(dim, roles), centroids)
-    loader = fact.agg(F.count("*").alias("total_filas")).withColumn(
+                     validity_pct: Column | None = None, roles: Roles = DEFAULT,
+                     base: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables a front end reads, by file name; all but the samples of rows are projected from the rollup."""
+    base = settle(rollup.rollup(fact), "anomaly-rollup") if base is None else base
+    heatmap = district_heatmap_join(rollup.district_heatmap(base), district_places(dim, roles), centroids)
+    loader = rollup.merged(base).select(F.col("filas").alias("total_filas")).withColumn(
         "validez_pct", F.lit(None).cast("double") if validity_pct is None else validity_pct
     )
     by_group = [
-        anomaly_summary(fact, c).withColumnRenamed(c, "clave").withColumn("resumen", F.lit(name))
+        rollup.summary(base, c).withColumnRenamed(c, "clave").withColumn("resumen", F.lit(name))
         for c, name in (("tarifa", "by_tariff"), ("cartera", "by_cartera"))
     ]
     return {
-        "kpis": dashboard_kpis(fact, validity_pct),
+        "kpis": rollup.dashboard_kpis(base, validity_pct),
         "district_heatmap": heatmap,
-        "corrected_risk": risk_split(fact),
+        "corrected_risk": _split(rollup.merged(base).select(
+            F.col("normales").alias(NORMAL_ROWS), F.col("extremas").alias(EXTREME_ROWS))),
         "batch_trend": trend,
         "chart_districts_rate": top_districts_by_rate(heatmap),
         "chart_zscore": zscore_sample(fact),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gridlens.operators import batch
+from gridlens.operators import batch, cleaning
 from gridlens.operators.events import as_messages
 from gridlens.session import scratch_path
 from gridlens.sinks import files
@@ -90,3 +90,20 @@ def _(spark, folder):
     )
     body = F.from_json("value", f"{ROLES.document} string, {ROLES.amount} double, {ROLES.tariff} string")
     return as_messages(rows).select("key", body.alias("_b")).select("key", "_b.*")
+
+
+@check("write_parquet", using("invoices", body="SELECT NRO_DOC_FAC, PERIODO, CONSUMO, IMPORTE, DISTRITO FROM invoices"))
+def _(spark, folder):
+    """Invoices in a folder for each month, read back."""
+    path = scratch_path(spark, "by-month")
+    rows = views.invoices(spark, folder).select(ROLES.document, ROLES.period, *ROLES.measures, ROLES.district)
+    files.write_parquet(rows, path, [ROLES.period])
+    return spark.read.parquet(path).select(*rows.columns)
+
+
+@check("normalise_headers", """
+SELECT o_orderkey AS NRO_DOC_FAC, o_totalprice AS IMPORTE, o_orderpriority AS "TARIFA X" FROM orders""")
+def _(spark, folder):
+    """Headers as raw files have them: a byte-order mark, blanks around, a blank inside."""
+    orders = views.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return cleaning.normalise_headers(orders.toDF("﻿NRO_DOC_FAC", " IMPORTE\t", "TARIFA X "))

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from gridlens import settle
-from gridlens.operators import alerts, serving
+from gridlens.operators import alerts, batch, serving
+from gridlens.session import scratch_path
+from gridlens.sinks import files
 from registry import views
-from registry.catalog import check
+from registry.catalog import ORACLES, check
 from registry.sql import mean, pct, rnd, total, using
 from registry.scoring import std4
 
@@ -248,3 +250,22 @@ def _(spark, folder):
     stored = settle(views.alerts(spark, folder), "alerts")
     changed = stored.filter(F.col("consumo_total_hora") > 120).withColumn("nivel", F.lit("REVISADO"))
     return views.plain_times(alerts.merge_alerts(stored, changed, keep=None))
+
+
+@check("write_report", ORACLES["kpi_report"])
+def _(spark, folder):
+    """The report written as JSON lines and read back."""
+    report, path = serving.kpi_report(fact_table(spark, folder)), scratch_path(spark, "report")
+    files.write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@check("export_dashboard_tables", ORACLES["risk_split"])
+def _(spark, folder):
+    """All dashboard tables written, one of them read back."""
+    trend = batch.trend_export(batch.monthly_trend(views.invoices(spark, folder)))
+    dim = views.places(spark, folder)
+    tables = serving.dashboard_tables(fact_table(spark, folder), dim, views.centroids(spark, folder), trend)
+    path = scratch_path(spark, "dashboard")
+    files.export_dashboard_tables(tables, path)
+    return spark.read.schema(tables["corrected_risk"].schema).json(f"{path}/corrected_risk")

@@ -6,7 +6,7 @@ from gridlens.operators import batch, cleaning
 from gridlens.operators.events import as_messages
 from gridlens.session import scratch_path
 from gridlens.sinks import files
-from gridlens.sources import csv_folder, tables
+from gridlens.sources import csv_folder, geojson, tables
 from registry import views
 from registry.batch import STATISTICS, rounded
 from registry.catalog import check
@@ -107,3 +107,36 @@ def _(spark, folder):
     """Headers as raw files have them: a byte-order mark, blanks around, a blank inside."""
     orders = views.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
     return cleaning.normalise_headers(orders.toDF("﻿NRO_DOC_FAC", " IMPORTE\t", "TARIFA X "))
+
+
+def _nations_geojson(spark, folder):
+    """A collection with a triangle for each nation, every third one as the first part of a multipolygon."""
+    k = F.col("n_nationkey").cast("double")
+    ring = F.array(F.array(k, -k), F.array(k + 2, -k), F.array(k + 2, -k - 1))
+    hole = F.array(F.array(k, k), F.array(k, k), F.array(k, k))
+    multi = F.col("n_nationkey") % 3 == 0
+    polygon, parts = F.to_json(F.array(ring, hole)), F.to_json(F.array(F.array(ring, hole)))
+    head = F.to_json(F.struct(F.lpad(F.col("n_nationkey").cast("string"), 6, "0").alias("IDDIST"), F.concat(F.lit("} "), "n_name").alias("nombre")))
+    feature = F.concat(
+        F.lit('{"type":"Feature","properties":'), head, F.lit(',"geometry":{"type":"'),
+        F.when(multi, "MultiPolygon").otherwise("Polygon"), F.lit('","coordinates":'), F.when(multi, parts).otherwise(polygon), F.lit("}}"))
+    one = views.table(spark, folder, "nation").agg(F.array_join(F.array_sort(F.collect_list(feature)), ",\n").alias("f"))
+    path = scratch_path(spark, "geojson")
+    one.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}"))).write.text(path)
+    return path
+
+
+CENTRES = """
+SELECT lpad(CAST(n_nationkey AS VARCHAR), 6, '0') AS IDDIST, CAST(-3 * n_nationkey - 1 AS DOUBLE) / 3 AS lat,
+       CAST(3 * n_nationkey + 4 AS DOUBLE) / 3 AS lon FROM nation"""
+
+
+@check("district_centroids", CENTRES)
+def _(spark, folder):
+    return geojson.district_centroids(geojson.read_geojson_features(spark, _nations_geojson(spark, folder)))
+
+
+@check("large_geojson_centroids", CENTRES)
+def _(spark, folder):
+    """The same file cut at its braces and read by blocks."""
+    return geojson.district_centroids(geojson.read_large_geojson(spark, _nations_geojson(spark, folder)))

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even when the split costs a later aggregation one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Plans of many steps write each step's result: what was shuffled for it goes when the step has ended.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Hourly windows x districts outgrow the heap on a large stream; RocksDB keeps state off it.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

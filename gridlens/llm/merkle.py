@@ -6,24 +6,27 @@ paragraphs, the root the digest of the sections. Sections end at paragraphs whos
 no borders elsewhere. Equal roots mean equal texts; where roots differ, only differing sections and paragraphs are
 entered to find the edits (``edits``), and the share of common leaves is the likeness.
 
-``with_next`` gives every document its successor in an order over all documents without a window over all of them: ids are
-cut into ranges at quantiles, the first document of each range is also sent to the range before, and windows run within
-ranges. The cut points and first ids are the only things that pass the driver, one for each of ``RANGES`` ranges at most.
+``with_next`` gives every document its successor in an order over all documents without a window over all of them: documents
+are numbered by range partitioning, cut into blocks of ``RANGE_ROWS``, the first document of each block is also sent to the
+block before, and windows run within blocks. There are as many blocks as the documents need, whatever their ids; nothing passes
+the driver.
 
 Defined cases: null texts count as empty, an empty text is one empty paragraph without leaves; two texts without leaves
 have likeness 1, a text without leaves has 0 to any other; null ids come last; equal ids are ordered by a hash of their
-texts, equal rows are interchangeable; a single document is its own successor; an empty table gives an empty result.
+texts, equal rows are interchangeable, and rows of one id (or none) are spread over blocks like all others; very long texts are
+cut whole; columns that clash with helper columns are kept; a single document is its own successor; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gridlens.llm.common import fresh, whole
+from gridlens.llm.common import whole
+from gridlens.operators.ordering import add_sequence
 
 LEAF = 64
-#: Documents in a range, most ranges, and ranges found by one scan of a literal array.
-RANGE_ROWS, RANGES, FAN = 2048, 4096, 64
+#: Documents in a block of neighbours.
+RANGE_ROWS = 1024
 
 _LEAVES = rf"[^.!?]{{1,{LEAF}}}[.!?]*|[.!?]+"
 
@@ -77,50 +80,22 @@ def edits(a: Column, b: Column) -> Column:
     return F.when(a["root"] == b["root"], F.array().cast("array<int>")).otherwise(F.filter(places, lambda i: i.isNotNull()))
 
 
-def _range(value: Column, cuts: list[int]) -> Column:
-    """How many of the rising ``cuts`` are at most ``value``, found in two short scans."""
-    groups = [cuts[k:k + FAN] for k in range(0, len(cuts), FAN)]
-    if not groups:
-        return F.lit(0)
-    heads = F.array(*[F.lit(g[0]).cast("long") for g in groups])
-    table = F.array(*[F.array(*[F.lit(c).cast("long") for c in g]) for g in groups])
-    group = F.size(F.filter(heads, lambda c: c <= value)) - 1
-    inside = F.size(F.filter(F.get(table, F.greatest(group, F.lit(0))), lambda c: c <= value))
-    return F.when(value.isNull(), F.lit(-1)).when(group < 0, F.lit(0)).otherwise(group * FAN + inside)
-
-
 def with_next(docs: DataFrame, id_column: str, columns: list[str], prefix: str = "next_") -> DataFrame:
     """``docs`` with ``columns`` of the next document in descending order of the id (after the last: the first)."""
-    rank, at, extra, mark = fresh(docs, "_rank", "_range", "_extra", "_mark")
-    own = F.col(id_column).cast("long")
-    rows = docs.agg(F.count("*")).first()[0]
-    ranges = max(1, min(RANGES, -(-rows // RANGE_ROWS)))
-    points = [k / ranges for k in range(1, ranges)]
-    cuts = sorted(set(docs.agg(F.percentile_approx(own, points, 50 * ranges)).first()[0] or [])) if points else []
-    ranked = docs.withColumn(rank, F.xxhash64(*columns)).withColumn(at, _range(own, cuts).cast("int"))
-
-    # The first document of every range, ranges from the largest ids down.
-    place = F.struct((-own).alias("i"), F.col(rank).alias("h"))
-    firsts = ranked.groupBy(at).agg(F.min(place).alias("p")).orderBy(F.desc(at)).collect()
-    if not firsts:
-        return docs.select("*", *[F.col(c).alias(prefix + c) for c in columns])
-    to = {r[at]: firsts[k - 1][at] for k, r in enumerate(firsts)}
-    lowest = min(to)
-    by_range = [next((r for r in firsts if r[at] == k), None) for k in range(lowest, max(to) + 1)]
-
-    def literal(values: list, kind: str) -> Column:
-        return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), F.col(at) - lowest)
-
-    is_first = (-own).eqNullSafe(literal([r.p.i if r else None for r in by_range], "long")) & (
-        F.col(rank) == literal([r.p.h if r else None for r in by_range], "long"))
-    before = literal([to.get(k) for k in range(lowest, max(to) + 1)], "int")
-    here = F.struct(F.col(at).alias("r"), F.lit(0).alias("e"))
-    sent = ranked.withColumn(mark, F.explode(F.when(is_first, F.array(here, F.struct(before.alias("r"), F.lit(1).alias("e"))))
-                                             .otherwise(F.array(here))))
-    sent = sent.withColumn(at, F.col(mark)["r"]).withColumn(extra, F.col(mark)["e"])
-    window = Window.partitionBy(at).orderBy(extra, F.desc_nulls_last(own), rank)
-    joined = sent.select("*", *[F.lead(c).over(window).alias(prefix + c) for c in columns])
-    return joined.filter(F.col(extra) == 0).drop(rank, at, extra, mark)
+    packed = docs.select(F.struct("*").alias("doc"), F.col(id_column).cast("long").alias("id"), F.xxhash64(*columns).alias("h"))
+    numbered = add_sequence(packed, [F.col("id").desc_nulls_last(), "h"], "n").select("doc", "n")
+    rows = numbered.agg(F.count("*")).scalar()
+    block, last = F.floor((F.col("n") - 1) / RANGE_ROWS), F.floor((rows - 1) / RANGE_ROWS)
+    # The first document of each block is the next one of the block before, that of the first block of the last.
+    here = F.struct(block.alias("block"), F.lit(0).alias("extra"))
+    before = F.struct(F.when(block == 0, last).otherwise(block - 1).alias("block"), F.lit(1).alias("extra"))
+    is_first = (F.col("n") - 1) % RANGE_ROWS == 0
+    sent = numbered.withColumn("to", F.explode(F.when(is_first, F.array(here, before)).otherwise(F.array(here)))).select(
+        "doc", "n", "to.block", "to.extra")
+    window = Window.partitionBy("block").orderBy("extra", "n")
+    joined = sent.select("doc", "extra", *[F.lead(F.col("doc")[c]).over(window).alias(f"next_{i}") for i, c in enumerate(columns)])
+    return joined.filter("extra = 0").select(
+        "doc.*", *[F.col(f"next_{i}").alias(prefix + c) for i, c in enumerate(columns)])
 
 
 def edited_text(text: Column, other: Column) -> Column:

@@ -15,8 +15,8 @@ similarity of at least ``SIMILARITY`` with it; the first one stays.
    found by a bitmap of fixed size.
 
 Defined cases: null and empty texts have one line without words; lines without words (or with fewer than ``least_words``, repeated ones counted)
-always stay; null ids come last; rows equal in id and text are treated alike; an empty table gives an empty result; extra
-columns are kept.
+always stay; null ids come last; rows equal in id and text are treated alike; very long texts are split whole, very long lines are
+one set of words; an empty table gives an empty result; extra columns are kept.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ Every labelled row outside the held-out fold is used. Labels, language, source a
 
 Defined cases: null and empty texts have statistics of zero and get a score like any other; null ids are held out by
 the checksum of the empty string and are never labelled; null labels are left out, several labels of one id are averaged;
-without labels of both kinds every score is the average label (0.5 without labels); an empty table gives an empty result.
+without labels of both kinds every score is the average label (0.5 without labels); very long texts are measured whole, one at a
+time; repeated rows are scored, and where they are labelled learnt from, one by one; extra columns are never inputs and are kept
+by ``accepted``; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -7,7 +7,11 @@
    each other, and never with themselves, so thousands of near copies need about as many comparisons as there are copies.
 4. Candidate pairs are verified on the whole sets, which are read again from the documents that take part in a pair.
 
-Shingles are told apart by the 64 bits of their hash, sets by 64 bits of a digest. Blank texts have the empty set, node 0.
+Shingles are told apart by the 64 bits of their hash, sets by 64 bits of a digest.
+
+Defined cases: null, empty and blank texts have the empty set, node 0, and are copies of each other; ids are not looked at, so null
+and repeated ones do not matter, and repeated rows are one node; very long texts are taken whole, one set in memory at a time;
+an empty table has no nodes; extra columns are not looked at.
 """
 
 from __future__ import annotations

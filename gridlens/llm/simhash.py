@@ -7,7 +7,8 @@ the components that result are joined with each other, and never with themselves
 as many comparisons as there are copies and still no link is lost.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; null ids take part, a component of
-null ids only has a null component_id; repeated rows are repeated in the result; an empty table gives an empty result.
+null ids only has a null component_id; repeated rows are repeated in the result; very long texts are hashed whole, chunk by
+chunk; extra columns are kept by ``one_of_each`` and not looked at elsewhere; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -77,7 +77,7 @@ def upsert_alerts(alerts: DataFrame, folder: str, checkpoint: str, keep: int | N
                   trigger: dict | None = None) -> StreamingQuery:
     """Keep one table of all alerts in their latest state; ``latest_alerts`` cuts it on read.
 
-    All alerts are stored by hour, and a micro-batch rewrites the hours it touches (``alert_store``). A table of the newest
+    All alerts are stored by day, and a micro-batch rewrites the days it touches (``alert_store``). A table of the newest
     ``keep`` is small and is rewritten whole, in two slots that take turns: a micro-batch merges the slot of the batch before
     into its own. Either way a replayed batch finds its input unchanged. Folder and checkpoint belong together.
     """

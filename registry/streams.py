@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from gridlens.functions.numeric import exact_sum
 from gridlens.operators import scoring
 from gridlens.operators.alerts import hourly_alerts
-from gridlens.plans.speed_layer import anomalies
+from gridlens.plans.speed_layer import anomalies, start_live
 from gridlens.session import scratch_path
 from gridlens.sources.streams import as_kafka_records, replay_source
 from gridlens.streaming import queries, versions
@@ -142,3 +143,18 @@ def _(spark, folder):
     return spark.read.option("basePath", out).parquet(out).select(
         ROLES.document, "zscore_consumo", "porcentaje_variacion", "tipo_anomalia", "nivel_riesgo", "flag_anomalia"
     )
+
+
+@check("live_queries", using("fact", "alerts", body="""
+SELECT 'anomalias' AS consulta, count(*) AS filas, round(sum(CAST(consumo_actual AS DECIMAL(18,6))), 2)::DOUBLE AS consumo FROM fact
+UNION ALL SELECT 'alertas', count(*), round(sum(CAST(consumo_total_hora AS DECIMAL(18,6))), 2)::DOUBLE FROM alerts"""))
+def _(spark, folder):
+    """Both queries of the live flow over one stream of records, until all is processed; what each has stored."""
+    out, state = scratch_path(spark, "live"), scratch_path(spark, "live-checkpoints")
+    for query in start_live(_messages(spark, folder), views.statistics(spark, folder), None, out, state, critical=CRITICAL,
+                            hourly_limit=HOURLY, trigger=queries.DRAIN):
+        queries.drain(query)
+    found = spark.read.parquet(f"{out}/anomalies").select(F.lit("anomalias").alias("consulta"), F.col("consumo_actual").alias("kwh"))
+    alerts = queries.stored_alerts(spark, f"{out}/alerts").select(F.lit("alertas"), "consumo_total_hora")
+    return found.union(alerts).groupBy("consulta").agg(
+        F.count("*").alias("filas"), F.round(exact_sum("kwh"), 2).alias("consumo"))

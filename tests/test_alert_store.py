@@ -1,4 +1,4 @@
-"""Alerts stored by hour: every micro-batch rewrites the hours it touches and nothing else."""
+"""Alerts stored by day: every micro-batch rewrites the days it touches and nothing else."""
 
 import os
 
@@ -54,7 +54,7 @@ def test_three_batches_and_replays(spark, tmp_path):
     assert state(spark, folder, since="2024-01-01 12:30:00") == [("01 12", None, "Y", 5.0), ("02 00", "A", "X", 8.0)]
 
 
-def test_a_batch_writes_the_touched_hours_only(spark, tmp_path):
+def test_a_batch_writes_the_touched_days_only(spark, tmp_path):
     folder = str(tmp_path / "alerts")
     history = [(f"2024-01-{1 + k // 24:02} {k % 24:02}:00:00", "A", f"D{j}", float(k)) for k in range(120) for j in range(4)]
     alert_store.merge_batch(alerts(spark, *history), folder, 0)
@@ -62,13 +62,13 @@ def test_a_batch_writes_the_touched_hours_only(spark, tmp_path):
     alert_store.merge_batch(alerts(spark, ("2024-01-02 03:00:00", "A", "D1", 0.5), ("2024-02-01 00:00:00", "A", "D1", 1.5)), folder, 1)
     after = files(folder)
     written = {os.path.dirname(f) for f in after.keys() - before.keys()}
-    assert {os.path.relpath(f, folder) for f in written} == {"hora=h2024010203/ranura=1", "hora=h2024020100/ranura=0"}
+    assert {os.path.relpath(f, folder) for f in written} == {"dia=d20240102/ranura=1", "dia=d20240201/ranura=0"}
     assert before.keys() <= after.keys()
     assert len(state(spark, folder)) == 481
-    # Versions do not pile up: two slots an hour, whatever the number of batches.
+    # Versions do not pile up: two slots a day, whatever the number of batches.
     for k in range(2, 6):
         alert_store.merge_batch(alerts(spark, ("2024-01-02 03:00:00", "A", "D1", float(k))), folder, k)
-    assert len(os.listdir(f"{folder}/hora=h2024010203")) == 2
+    assert len(os.listdir(f"{folder}/dia=d20240102")) == 2
     assert ("02 03", "A", "D1", 5.0) in state(spark, folder)
 
 

@@ -53,7 +53,8 @@ def first_rows(df: DataFrame, order_by: Sequence[str | Column], n: int | Column,
 
     Rows are counted by ranges of their key first. Only those up to the range that holds the n-th are shuffled and written:
     ``n`` and at most one range more, however long the table is. The table is read three times, so give a stored one. The
-    ranges come from a bounded draw, which decides how many rows are too many and not which rows are right.
+    ranges come from a bounded draw, which decides how many rows are too many and not which rows are right. A row's range is
+    found by halving, in one comparison for each power of two below ``ranges``, and whether it is kept in one more.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in [*per, *order_by]]
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
@@ -61,25 +62,34 @@ def first_rows(df: DataFrame, order_by: Sequence[str | Column], n: int | Column,
     drawn = df.select(key.alias("_k"), F.monotonically_increasing_id().alias("_row"))
     drawn = drawn.orderBy(F.xxhash64("_k", "_row")).limit(CUT_SAMPLE)
     listed = drawn.agg(F.array_sort(F.collect_list("_k")).alias("_all"))
-    picked = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get(
+    picked = F.transform(F.slice(F.sequence(F.lit(1), F.lit(ranges)), 1, ranges - 1), lambda i: F.get(
         "_all", F.floor(i * F.size("_all") / F.lit(ranges)).cast("int")))
     edges = settle(listed.select(F.array_distinct(F.filter(picked, lambda k: k.isNotNull())).alias("_edges")), "cut-edges")
-    place = F.size(F.filter("_edges", lambda edge: edge < F.col("_key"))).alias("_range")
 
-    def with_range(*columns: str) -> DataFrame:
-        return df.select(*columns, key.alias("_key"), edges.scalar().alias("_edges")).select(*columns, place)
-
-    counted = with_range(*per).groupBy(*per, "_range").agg(F.count("*").alias("_size"))
+    # Each step is a projection of its own that uses the key of the one before, so the key is worked out once a row.
+    ranged = df.select(*per, key.alias("_key"), edges.scalar().alias("_edges"), F.lit(0).alias("_range"))
+    for half in (1 << bit for bit in reversed(range((ranges - 1).bit_length()))):
+        past = F.get("_edges", F.col("_range") + F.lit(half - 1)) < F.col("_key")
+        ranged = ranged.withColumn("_range", F.col("_range") + F.when(past, half).otherwise(0))
+    counted = ranged.groupBy(*per, "_range").agg(F.count("*").alias("_size"))
     counted = settle(counted.withColumn("_before", _sum_before("_size", per, "_range")), "cut-counts")
     wanted = F.lit(n) if isinstance(n, int) else n
     cuts = counted.filter(F.col("_before") < wanted).groupBy(*[F.col(c).alias(f"_cut_{c}") for c in per]).agg(F.max("_range").alias("_last"))
-    placed = with_range(*df.columns)
+    # The upper edge of the last wanted range; the topmost one has none, and none wanted keeps nothing.
+    cuts = cuts.select("*", F.get(edges.scalar(), F.col("_last")).alias("_edge"))
+    cuts = settle(cuts, "cuts")
+
+    def up_to(last: Column, edge: Column) -> Column:
+        return last.isNotNull() & (edge.isNull() | (key <= edge))
+
     if per:
         same = [F.col(c).eqNullSafe(F.col(f"_cut_{c}")) for c in per]
-        kept = placed.join(settle(cuts, "cuts"), reduce(lambda a, b: a & b, same)).filter(F.col("_range") <= F.col("_last"))
+        kept = df.join(cuts, reduce(lambda a, b: a & b, same)).filter(up_to(F.col("_last"), F.col("_edge")))
     else:
-        kept = placed.filter(F.col("_range") <= cuts.scalar())
-    numbered = add_sequence(kept.select(*df.columns), order_by, name, per)
+        cut = cuts.select(F.struct("_last", "_edge")).scalar()
+        kept = df.filter(up_to(cut["_last"], cut["_edge"]))
+    kept = settle(kept.select(*df.columns), "first-ranges")
+    numbered = add_sequence(kept, order_by, name, per)
     return numbered.filter(F.col(name) <= wanted)
 
 

@@ -140,3 +140,29 @@ def test_first_rows_write_few(spark, monkeypatch):
     assert seen[0] < 1500
     assert ordering.first_rows(table.limit(0), ["v"], 100).count() == 0
     assert ordering.first_rows(table.limit(3), ["v"], 100).count() == 3
+
+
+@pytest.mark.parametrize("per", [[], ["s"]])
+def test_first_rows_work_out_a_key_once_a_row(spark, monkeypatch, per):
+    """Counting must not compare a row with every edge: nothing runs inside a lambda, where the key is worked out again."""
+    from gridlens.operators import ordering
+
+    plans = {}
+    write = ordering.settle
+    monkeypatch.setattr(ordering, "settle", lambda df, label: (
+        plans.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString()), write(df, label))[1])
+    table = settle(spark.range(500).select("id", (F.col("id") % 3).alias("s")), "values")
+    order = [F.lpad(F.col("id").cast("string"), 20, "0")]
+    assert ordering.first_rows(table, order, 7, "n", per).count() == 7 * max(1, 3 * len(per))
+    assert "lambda" not in plans["cut-counts"] and "lambda" not in plans["first-ranges"]
+    assert plans["cut-counts"].count("lpad(") == 1 and plans["first-ranges"].count("lpad(") == 1
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 5, 64])
+def test_first_rows_of_any_number_of_ranges(spark, ranges):
+    from gridlens.operators import ordering
+
+    table = settle(spark.range(900).select((F.col("id") * 37 % 101).alias("v"), "id").repartition(3), "values")
+    got = sorted(rows(ordering.first_rows(table, ["v", "id"], 123, "n", ranges=ranges), "n", "v", "id"))
+    wanted = sorted((i * 37 % 101, i) for i in range(900))[:123]
+    assert got == [(n, *row) for n, row in enumerate(wanted, 1)]

@@ -178,34 +178,34 @@ def _(spark, folder):
     return quality.fact_with_dim(orders, views.table(spark, folder, "lineitem"), "l_orderkey")
 
 
-def _validity(spark, folder):
-    """The dimension lacks some documents, as one that was stored before the fact does."""
+def _validity(spark, folder, known=None):
+    """``known``: the documents of the dimension, where it lacks some, as one that was stored before the fact does."""
     raw = settle(views.raw_invoices(spark, folder), "raw")
     fact, dim = cleaning.split_star(settle(cleaning.clean(raw), "clean"))
-    fact, dim = settle(fact, "fact"), settle(dim.filter(~F.col(ROLES.document).endswith("7-1")), "dim")
+    fact, dim = settle(fact, "fact"), settle(dim if known is None else dim.filter(known), "dim")
     return quality.validity_rate(fact, dim, raw.agg(F.count("*")).scalar())
 
 
-VALIDITY = f"""late_dim AS (SELECT * FROM star_dim WHERE NRO_DOC_FAC NOT LIKE '%7-1'),
-rate AS (
+RATE = f"""rate AS (
   SELECT (SELECT count(*) FROM raw) AS total_filas_originales, count(*) AS total_fact_consumo,
-         (SELECT count(*) FROM late_dim) AS total_dim_cliente,
+         (SELECT count(*) FROM star_dim) AS total_dim_cliente,
          count(*) FILTER (WHERE CONSUMO IS NULL) AS nulos_consumo,
          count(*) FILTER (WHERE IMPORTE IS NULL) AS nulos_importe,
          count(*) FILTER (WHERE CONSUMO <= 0) AS consumo_cero_o_negativo,
          count(*) FILTER (WHERE IMPORTE <= 0) AS importe_cero_o_negativo,
-         count(*) FILTER (WHERE NRO_DOC_FAC NOT IN (SELECT NRO_DOC_FAC FROM late_dim)) AS fact_sin_dim_asociada,
+         count(*) FILTER (WHERE NRO_DOC_FAC NOT IN (SELECT NRO_DOC_FAC FROM star_dim)) AS fact_sin_dim_asociada,
          {rnd('CAST(count(*) AS DOUBLE) / greatest((SELECT count(*) FROM raw), 1) * 100', 2)} AS tasa_validez_pct
   FROM star_fact)"""
+VALIDITY = "late_dim AS (SELECT * FROM star_dim WHERE NRO_DOC_FAC NOT LIKE '%7-1'),\n" + RATE.replace("star_dim", "late_dim")
 
 
 @check("validity_rate", using("star", body="SELECT * FROM rate").replace("\nSELECT * FROM rate", f",\n{VALIDITY}\nSELECT * FROM rate"))
 def _(spark, folder):
-    return _validity(spark, folder)
+    return _validity(spark, folder, ~F.col(ROLES.document).endswith("7-1"))
 
 
 @check("check_validity", using("star", body="SELECT * FROM rate").replace(
-    "\nSELECT * FROM rate", f",\n{VALIDITY}\nSELECT *, tasa_validez_pct >= 85 AS oe1_cumplido FROM rate"))
+    "\nSELECT * FROM rate", f",\n{RATE}\nSELECT *, tasa_validez_pct >= 85 AS oe1_cumplido FROM rate"))
 def _(spark, folder):
     return quality.check_validity(_validity(spark, folder))
 

@@ -118,3 +118,11 @@ def test_latency_gate():
     assert quality.check_latency(5.0)["oe3_cumplido"] is False
     assert quality.check_latency(1.0, 89.9)["oe3_cumplido"] is False
     assert quality.check_latency(1.0, 90.0)["oe3_cumplido"] is True
+
+
+def test_check_validity_takes_the_whole_dimension(spark, folder):
+    import __spark_entry__ as entry
+
+    row = entry.queries()["check_validity"](spark, folder).first()
+    # Each document is one row of the fact and one of the dimension; validity_rate drops some of the latter.
+    assert row["total_dim_cliente"] == row["total_fact_consumo"] > 0 and row["fact_sin_dim_asociada"] == 0

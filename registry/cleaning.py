@@ -181,7 +181,7 @@ def _(spark, folder):
 def _validity(spark, folder, known=None):
     """``known``: the documents of the dimension, where it lacks some, as one that was stored before the fact does."""
     raw = settle(views.raw_invoices(spark, folder), "raw")
-    fact, dim = cleaning.split_star(settle(cleaning.clean(raw), "clean"))
+    fact, dim = cleaning.split_star(cleaning.clean(raw))
     fact, dim = settle(fact, "fact"), settle(dim if known is None else dim.filter(known), "dim")
     return quality.validity_rate(fact, dim, raw.agg(F.count("*")).scalar())
 

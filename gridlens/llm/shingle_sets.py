@@ -1,10 +1,11 @@
-"""Near copies by the Jaccard similarity of their sets of word shingles: every pair, no sketch.
+"""Near copies by the Jaccard similarity of their sets of word shingles: every pair.
 
 1. Shingles are ordered by rarity: by their count in a table of ``COUNTERS`` counters over all documents, then by hash. Any
    fixed order gives the same links, so that shingles share counters costs time, never a link.
 2. Documents with one set are one node. Similar sets share one of their rarest ``n - ceil(t n) + 1`` shingles (prefix filter).
-3. The sets that share such a shingle are first compared with three leaders; the components that result are joined with
-   each other, and never with themselves, so thousands of near copies need about as many comparisons as there are copies.
+3. Pairs that a sketch has found (``simhash.leader_pairs``) are compared first. The sets that share such a shingle are then
+   compared with three leaders, if they are not in one component yet; the components that result are joined with each other, and
+   never with themselves, so thousands of near copies need about as many comparisons as there are copies.
 4. Candidate pairs are verified on the whole sets, which are read again from the documents that take part in a pair.
 
 Shingles are told apart by the 64 bits of their hash, sets by 64 bits of a digest.
@@ -16,7 +17,7 @@ an empty table has no nodes; extra columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -77,24 +78,26 @@ def rarity(docs: DataFrame, text: str, words: int) -> np.ndarray:
     return counts
 
 
-def digest(docs: DataFrame, text: str, words: int) -> Column:
-    """node, n (shingles of the set), prefix (its rarest shingles, rarest first), h (hash of the text) of a text column."""
+def digest(docs: DataFrame, text: str, words: int, sketch: Callable[[np.ndarray], int]) -> Column:
+    """node, n (shingles of the set), prefix (its rarest shingles, rarest first), sim (``sketch`` of all shingles, repeats
+    included), h (hash of the text) of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, text, words))
     a, b = SIMILARITY
 
-    @F.pandas_udf("node long, n int, prefix array<long>")
+    @F.pandas_udf("node long, n int, prefix array<long>, sim long")
     def of(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for value in texts:
-            s = _set(value, words)
+            hashes = shingle_hashes(value, words)
+            s = np.unique(hashes)
             order = np.lexsort((s, shared.value[(s % np.uint64(COUNTERS)).astype(np.int64)]))
             kept = len(s) + (-a * len(s) // b) + 1 if len(s) else 0  # n - ceil(t n) + 1
-            rows.append((_node(s), len(s), s[order[:kept]].view(np.int64)))
-        return pd.DataFrame(rows, columns=["node", "n", "prefix"])
+            rows.append((_node(s), len(s), s[order[:kept]].view(np.int64), sketch(hashes)))
+        return pd.DataFrame(rows, columns=["node", "n", "prefix", "sim"])
 
     found = of(F.col(text))
     return F.struct(found["node"].alias("node"), found["n"].alias("n"), found["prefix"].alias("prefix"),
-                    F.xxhash64(whole(text)).alias("h"))
+                    found["sim"].alias("sim"), F.xxhash64(whole(text)).alias("h"))
 
 
 def similar(pairs: DataFrame, marked: DataFrame, docs: DataFrame, text: str, words: int) -> DataFrame:
@@ -125,9 +128,11 @@ def similar(pairs: DataFrame, marked: DataFrame, docs: DataFrame, text: str, wor
     return both.filter(alike("s1", "s2")).select(*pairs.columns)
 
 
-def near_components(marked: DataFrame, docs: DataFrame, text: str, words: int) -> DataFrame:
-    """node, component for the sets that have another similar one. ``marked``: fingerprint (the node), n, prefix, h."""
+def near_components(marked: DataFrame, docs: DataFrame, text: str, words: int, found: DataFrame) -> DataFrame:
+    """node, component for the sets that have another similar one. ``marked``: fingerprint (the node), n, prefix, h.
+    ``found``: pairs of nodes (f1, f2) that are compared before all others."""
     a, b = SIMILARITY
+    sketched = stored(components(similar(found, marked, docs, text, words), "f1", "f2"), "sketched-components")
     nodes = marked.select(F.col("fingerprint").alias("f"), "n", "prefix").dropDuplicates(["f"])
     keyed = stored(nodes.select("f", "n", F.posexplode("prefix").alias("p", "k")), "prefixes")
     turned = F.col("f").bitwiseXOR(F.lit(_TURN))
@@ -139,7 +144,12 @@ def near_components(marked: DataFrame, docs: DataFrame, text: str, words: int) -
     to = F.explode(F.array_distinct(F.array("l1", "l2", "l3")))
     stars = shared.select("f", to.alias("l")).filter("f <> l").select(
         F.least("f", "l").alias("f1"), F.greatest("f", "l").alias("f2")).distinct()
-    first = stored(components(similar(stars, marked, docs, text, words), "f1", "f2"), "components")
+    open_stars = stars
+    for f, c in (("f1", "c1"), ("f2", "c2")):
+        own = sketched.select(F.col("node").alias(f), F.col("component").alias(c))
+        open_stars = open_stars.join(own, f, "left").withColumn(c, F.coalesce(c, f))
+    open_stars = similar(open_stars.filter("c1 <> c2"), marked, docs, text, words)
+    first = stored(joined_components(sketched, open_stars), "components")
 
     # What lies in different components so far: all members against those outside their group's largest component.
     member = shared.select("k", "f", "n", "p").join(first.withColumnRenamed("node", "f"), "f", "left")

@@ -31,9 +31,8 @@ DISTANCE = 4
 CHUNK = 1 << 16
 
 
-def _fingerprint(text: str | None, words: int) -> int:
+def _majority(hashes: np.ndarray) -> int:
     """Bits set in over half the XXH64 of all shingles, as a signed long."""
-    hashes = shingle_sets.shingle_hashes(text, words)
     n = len(hashes)
     if not n:
         return 0
@@ -44,6 +43,10 @@ def _fingerprint(text: str | None, words: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
 
 
+def _fingerprint(text: str | None, words: int) -> int:
+    return _majority(shingle_sets.shingle_hashes(text, words))
+
+
 def fingerprint(text: str, words: int = WORDS) -> Column:
     """64-bit SimHash of a text column as a long."""
     @F.pandas_udf(LongType())
@@ -111,20 +114,33 @@ def near_components(nodes: DataFrame, value: str, distance: int = DISTANCE) -> D
     return joined_components(first, met)
 
 
+def leader_pairs(marked: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """f1, f2: each node (``fingerprint``) with the smallest and the largest node whose SimHash (``sim``) is in its component."""
+    sims = stored(marked.select("fingerprint", "sim").distinct(), "sims")
+    near = near_components(sims, "sim", distance).withColumnRenamed("node", "sim")
+    grouped = sims.join(near, "sim", "left").select(F.col("fingerprint").alias("f"), F.coalesce("component", "sim").alias("g"))
+    grouped = stored(grouped, "sim-groups")
+    leaders = grouped.groupBy("g").agg(F.min("f").alias("l1"), F.max("f").alias("l2")).filter("l1 <> l2")
+    to = F.explode(F.array("l1", "l2"))
+    return grouped.join(leaders, "g").select("f", to.alias("l")).filter("f <> l").select(
+        F.least("f", "l").alias("f1"), F.greatest("f", "l").alias("f2")).distinct()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id", keep: tuple[str, ...] = (),
                     words: int = WORDS, distance: int | None = None) -> DataFrame:
     """id, fingerprint (long), component_id (smallest id reachable), and the columns ``keep``, a row for each document.
 
     Fingerprints within ``distance`` bits are linked. Without a distance the fingerprint is a digest of the text's set of
-    shingles, and sets of a Jaccard similarity of at least ``shingle_sets.SIMILARITY`` are linked, all of them.
+    shingles, and sets of a Jaccard similarity of at least ``shingle_sets.SIMILARITY`` are linked, all of them: what SimHash
+    blocks bring together is verified first, and the sets are then joined between the components that this left.
     """
-    mark = fingerprint(text, words) if distance is not None else shingle_sets.digest(docs, text, words)
+    mark = fingerprint(text, words) if distance is not None else shingle_sets.digest(docs, text, words, _majority)
     marked = docs.select(F.col(id_column).alias("id"), mark.alias("fingerprint"), F.struct(F.lit(0).alias("_"), *keep).alias("kept"))
     if distance is None:
         marked = marked.select("id", "fingerprint.*", "kept").withColumnRenamed("node", "fingerprint")
     marked = stored(marked, "simhash")
     if distance is None:
-        linked = shingle_sets.near_components(marked, docs, text, words).withColumnRenamed("node", "fingerprint")
+        linked = shingle_sets.near_components(marked, docs, text, words, leader_pairs(marked)).withColumnRenamed("node", "fingerprint")
     else:
         linked = near_components(marked, "fingerprint", distance).withColumnRenamed("node", "fingerprint")
     classes = marked.groupBy("fingerprint").agg(F.min("id").alias("least")).join(linked, "fingerprint", "left")

@@ -53,3 +53,26 @@ def test_one_of_each_group_of_similar_texts(spark):
     assert found == {i: find(i) for i in range(len(texts))}
     kept = corpus_pipeline.dedup_near(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted({find(i) for i in range(len(texts))})
+
+
+def test_simhash_blocks_come_first(spark, monkeypatch):
+    """The pipeline's near-dedup takes its first pairs from SimHash blocks; each is verified before it counts as a link."""
+    words = [f"w{i}" for i in range(400)]
+    near = [" ".join(words), " ".join([*words[:-1], "other"])]
+    texts = [*near, " ".join(reversed(words)), "a b c d e f", None]
+    assert bin((simhash._fingerprint(near[0], 5) ^ simhash._fingerprint(near[1], 5)) & ((1 << 64) - 1)).count("1") <= simhash.DISTANCE
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    real = simhash.leader_pairs
+
+    def pairs(marked, *a):
+        found = real(marked, *a)
+        ids = {r.fingerprint: r.id for r in marked.collect()}
+        seen.extend(sorted((ids[r.f1], ids[r.f2])) for r in found.collect())
+        # A pair of different texts that a sketch could bring together by chance.
+        back = {i: f for f, i in ids.items()}
+        return found.union(spark.createDataFrame([tuple(sorted((back[0], back[2])))], "f1 long, f2 long"))
+
+    monkeypatch.setattr(simhash, "leader_pairs", pairs)
+    kept = sorted(r.doc_id for r in corpus_pipeline.dedup_near(spark, docs, "").collect())
+    assert seen == [[0, 1]] and kept == [0, 2, 3, 4]

@@ -154,12 +154,12 @@ def _cells(spark: SparkSession, path: str | Sequence[str], layouts: DataFrame, k
     own = F.get(F.array(*[F.lit(k.separator) for k in kinds]), F.col("_kind"))
 
     def split(separator: str) -> Column:
-        row = F.from_csv("line", schema, {"sep": separator, "mode": "PERMISSIVE"})
-        return F.array(*[row[p] for p in places])
+        return F.from_csv("line", schema, {"sep": separator, "mode": "PERMISSIVE"})
 
     first, *rest = separators
-    cells = reduce(lambda other, s: F.when(own == s, split(s)).otherwise(other), rest, split(first))
-    return lines.select(SOURCE, "_kind", cells.alias("_cells"))
+    row = reduce(lambda other, s: F.when(own == s, split(s)).otherwise(other), rest, split(first))
+    # A generator, so that neither a filter nor the columns split a line once more each.
+    return lines.select(SOURCE, "_kind", F.inline(F.array(row))).select(SOURCE, "_kind", F.array(*places).alias("_cells"))
 
 
 def read_csv_folder(spark: SparkSession, path: str | Sequence[str], encoding: str = ENCODING,

@@ -231,3 +231,20 @@ def test_messages(spark):
     out = rows(messages.as_messages(df))
     assert [k for k, _ in out] == ["7", "0"] and json.loads(out[0][1]) == {"NRO_DOC_FAC": "7", "CONSUMO": 1.5}
     assert rows(messages.as_messages(df.select("CONSUMO")))[0][0] == "0"
+
+
+def test_lines_of_mixed_separators_are_split_once(spark, tmp_path):
+    """Quotes, escapes, empty, missing and additional cells; the plan parses a line once for each separator."""
+    lines = {"a": ["x;y;z", "1;2;3", '"4;5";"say \\"no\\"";', ";;", "6", "7;8;9;10", "11;12;13;", " 14 ; ,\t;15"],
+             "b": ["z,x,y", "1,2,3", '"4,5","",6', ",,", "7", "8,9,10,11", "é,\\,"]}
+    for name, found in lines.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join(found) + "\n", encoding="latin-1")
+    df = csv_folder.read_csv_folder(spark, str(tmp_path), keep_malformed=True)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 2
+    want = []
+    for name, separator in (("a", ";"), ("b", ",")):
+        rows = spark.read.option("header", False).option("sep", separator).option("encoding", "ISO-8859-1").schema(
+            "c0 string, c1 string, c2 string, c3 string").csv(str(tmp_path / f"{name}.csv")).collect()
+        places = [rows[0][:3].index(c) for c in "xyz"]
+        want += [(*[r[p] for p in places], r[3] is not None) for r in rows[1:]]
+    assert sorted(map(tuple, df.select("x", "y", "z", csv_folder.MALFORMED).collect()), key=repr) == sorted(want, key=repr)

@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -130,26 +130,25 @@ def _hash(key: bytes) -> int:
     return xxhash.xxh64_intdigest(key, seed=HASH_SEED)
 
 
-def one_row(spark: SparkSession, buckets: Iterable[dict], key: pa.DataType, value: pa.DataType) -> Column:
-    """An array of small maps as a one-row subquery: a literal of every plan that uses it.
+def one_row(spark: SparkSession, sizes: np.ndarray, keys: np.ndarray, values: np.ndarray) -> Column:
+    """An array of small maps as a one-row subquery: a literal of every plan that uses it. ``sizes``: entries of each map.
 
     Add it as a column and use the column exactly once (``let``): Spark then puts the subquery where it is used. Used
     twice, it would become a column and be copied into every row.
     """
-    buckets = list(buckets)
-    sizes = np.cumsum([0] + [len(b) for b in buckets])
-    maps = pa.MapArray.from_arrays(pa.array(sizes, pa.int32()), pa.array([k for b in buckets for k in b], key),
-                                   pa.array([v for b in buckets for v in b.values()], value))
-    row = pa.ListArray.from_arrays(pa.array([0, len(buckets)], pa.int32()), maps)
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    maps = pa.MapArray.from_arrays(pa.array(ends), pa.array(keys, pa.int64()), pa.array(values, pa.int32()))
+    row = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), maps)
     return spark.createDataFrame(pa.table({"buckets": row})).scalar()
 
 
 def pair_table(spark: SparkSession, vocabulary: Vocabulary) -> Column:
-    buckets: list[dict[int, int]] = [{} for _ in range(PAIR_BUCKETS)]
-    for (a, b), new in vocabulary.pairs.items():
-        key = a << 16 | b
-        buckets[_hash(key.to_bytes(8, "little")) % PAIR_BUCKETS][key] = new
-    return one_row(spark, buckets, pa.int64(), pa.int32())
+    n = len(vocabulary.pairs)
+    keys = np.fromiter((a << 16 | b for a, b in vocabulary.pairs), np.int64, n)
+    values = np.fromiter(vocabulary.pairs.values(), np.int32, n)
+    bucket = np.fromiter((_hash(k.to_bytes(8, "little")) % PAIR_BUCKETS for k in memoryview(keys)), np.int64, n)
+    order = np.argsort(bucket, kind="stable")
+    return one_row(spark, np.bincount(bucket, minlength=PAIR_BUCKETS), keys[order], values[order])
 
 
 def merge_tables(spark: SparkSession, vocabulary: Vocabulary) -> Column:

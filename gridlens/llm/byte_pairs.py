@@ -28,14 +28,17 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, MapType, StringType, StructField, StructType
 
 from gridlens.llm.common import fresh, stored, whole
 
 #: Most pieces whose ids are looked up instead of merged anew, and slots of that table.
 HEAD, HEAD_SLOTS = 1 << 19, 1 << 20
+#: Of so many slots one holds a piece so frequent that no other moves it.
+FIXED = 64
 PAIR_BUCKETS = 1 << 17
 #: Bytes from which a piece is merged with a heap.
 LONG = 256
@@ -137,23 +140,28 @@ def one_row(spark: SparkSession, sizes: np.ndarray, keys: np.ndarray, values: np
     twice, it would become a column and be copied into every row.
     """
     ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-    maps = pa.MapArray.from_arrays(pa.array(ends), pa.array(keys, pa.int64()), pa.array(values, pa.int32()))
+    maps = pa.MapArray.from_arrays(pa.array(ends), pa.array(keys, pa.int64()), pa.array(values, pa.int64()))
     row = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), maps)
     return spark.createDataFrame(pa.table({"buckets": row})).scalar()
 
 
 def pair_table(spark: SparkSession, vocabulary: Vocabulary) -> Column:
+    """The pairs that merge, as left << 16 | right, and their ranks as an entry of ``fold`` has them."""
     n = len(vocabulary.pairs)
     keys = np.fromiter((a << 16 | b for a, b in vocabulary.pairs), np.int64, n)
-    values = np.fromiter(vocabulary.pairs.values(), np.int32, n)
+    values = np.fromiter(vocabulary.pairs.values(), np.int64, n) << _RANK_AT
     bucket = np.fromiter((_hash(k.to_bytes(8, "little")) % PAIR_BUCKETS for k in memoryview(keys)), np.int64, n)
     order = np.argsort(bucket, kind="stable")
     return one_row(spark, np.bincount(bucket, minlength=PAIR_BUCKETS), keys[order], values[order])
 
 
 def merge_tables(spark: SparkSession, vocabulary: Vocabulary) -> Column:
-    """What ``fold`` reads: the pairs and the ids of the 256 bytes."""
-    return F.struct(pair_table(spark, vocabulary).alias("pairs"), F.array(*[F.lit(i).cast("long") for i in vocabulary.byte_ids]).alias("bytes"))
+    """What ``fold`` reads: the pairs, the ids of the 256 bytes, and by two bytes the first entry of the one before the other."""
+    own, pairs = vocabulary.byte_ids, vocabulary.pairs
+    first = np.fromiter((pairs[a, b] << _RANK_AT | a if (a, b) in pairs else _NO_MERGE | a for a in own for b in own), np.int64, 1 << 16)
+    row = pa.table({"first": pa.ListArray.from_arrays(pa.array([0, len(first)], pa.int32()), pa.array(first))})
+    return F.struct(pair_table(spark, vocabulary).alias("pairs"), F.array(*[F.lit(i).cast("long") for i in own]).alias("bytes"),
+                    spark.createDataFrame(row).scalar().alias("first"))
 
 
 def find(table: Column, buckets: int, key: Column) -> Column:
@@ -162,104 +170,132 @@ def find(table: Column, buckets: int, key: Column) -> Column:
 
 
 def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """``body`` of a value that is computed once. The end of an ``aggregate`` over nothing: unlike an element of a
+    transformed array it does not work out the type of its whole body for each row."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
 
-#: A token and the rank of the merge with its right neighbour in one long: rank << 17 | token.
-_TOKEN_BITS = 17
+#: A token, its place in the piece and the rank of the merge with its right neighbour in one long: rank << 34 | place << 17 | token.
+_TOKEN_BITS, _RANK_AT = 17, 34
 _NO_MERGE = 1 << 60
 
 
 def fold(piece: Column, tables: Column) -> Column:
-    """Ids of a piece: merges in order of rank, leftmost first. Each round looks up the two new neighbours only."""
+    """Ids of a piece: merges in order of rank, leftmost first. Each round looks up the two new neighbours only.
+
+    The least entry of a state is the lowest rank and of equal ones the leftmost, as places come before tokens.
+    """
     def token(entry: Column) -> Column:
         return entry.bitwiseAND(F.lit((1 << _TOKEN_BITS) - 1))
 
-    def rank(entry: Column) -> Column:
-        return F.shiftright(entry, _TOKEN_BITS)
+    def rank(a: Column, b: Column) -> Column:
+        found = find(tables["pairs"], PAIR_BUCKETS, F.shiftleft(a, 16).bitwiseOR(b))
+        return F.coalesce(found, F.lit(_NO_MERGE))
+
+    def place(entry: Column) -> Column:
+        return entry.bitwiseAND(F.lit(((1 << _TOKEN_BITS) - 1) << _TOKEN_BITS))
 
-    def entry(a: Column, b: Column) -> Column:
-        new = find(tables["pairs"], PAIR_BUCKETS, F.shiftleft(a, 16).bitwiseOR(b))
-        return F.coalesce(F.shiftleft(new.cast("long"), _TOKEN_BITS), F.lit(_NO_MERGE)).bitwiseOR(a)
+    def merged(state: Column, least: Column) -> Column:
+        new = F.shiftright(least, _RANK_AT)
 
-    def merged(state: Column, _: Column) -> Column:
         def at(j: Column) -> Column:
-            new = rank(F.get(state, j))
-            before = F.concat(F.slice(state, F.lit(1), j - 1), F.array(entry(token(F.get(state, j - 1)), new)))
-            after = F.array(entry(new, token(F.get(state, j + 2))))
-            rest = F.slice(state, j + 3, F.size(state))
-            return F.when(j > 0, F.concat(before, after, rest)).otherwise(F.concat(after, rest))
+            def moved(entry: Column, i: Column) -> Column:
+                after = token(F.get(state, j + 2))  # null after the last token: no pair
+                one = rank(new, after).bitwiseOR(place(least)).bitwiseOR(new)
+                other = rank(token(entry), new).bitwiseOR(entry.bitwiseAND(F.lit((1 << _RANK_AT) - 1)))
+                return F.when(F.abs(i - j) > 1, entry).when(i == j, one).when(i < j, other).otherwise(F.lit(-1).cast("long"))
 
-        best = F.array_position(F.transform(state, rank), rank(F.array_min(state))).cast("int") - 1
-        return F.when(F.array_min(state) >= _NO_MERGE, state).otherwise(let(best, at))
+            return F.array_remove(F.transform(state, moved), F.lit(-1).cast("long"))
+
+        return let(F.size(F.filter(state, lambda e: place(e) < place(least))), at)
+
+    def next_round(state: Column, _: Column) -> Column:
+        return let(F.array_min(state), lambda least: F.when(least >= _NO_MERGE, state).otherwise(merged(state, least)))
 
     # Bytes as characters of Latin-1, whose code is the byte.
-    characters = F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), "")
-    start = F.transform(characters, lambda c: F.get(tables["bytes"], F.ascii(c)))
-    first = let(start, lambda ids: F.zip_with(ids, F.slice(ids, F.lit(2), F.size(ids)), entry))
+    characters = F.transform(F.split(F.decode(F.encode(piece, "UTF-8"), "ISO-8859-1"), ""), F.ascii)
+
+    def start(codes: Column) -> Column:
+        def entry(code: Column, i: Column) -> Column:
+            after = F.get(codes, i + 1)
+            paired = F.get(tables["first"], F.shiftleft(code, 8).bitwiseOR(after))
+            alone = F.get(tables["bytes"], code).bitwiseOR(F.lit(_NO_MERGE))
+            return F.coalesce(paired, alone).bitwiseOR(F.shiftleft(i.cast("long"), _TOKEN_BITS))
+
+        return F.transform(codes, entry)
+
     rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(piece) - 1, F.lit(1)))
-    return F.aggregate(rounds, first, merged, lambda state: F.transform(state, lambda e: token(e).cast("int")))
+    return F.aggregate(rounds, let(characters, start), next_round, lambda state: F.transform(state, lambda e: token(e).cast("int")))
 
 
 def long_pieces(found: Column, vocabulary: Vocabulary) -> Column:
     """Map from the long pieces of an array to their ids."""
-    @F.pandas_udf(ArrayType(ArrayType(IntegerType())))
+    @F.pandas_udf(MapType(StringType(), ArrayType(IntegerType())))
     def merge(arrays: pd.Series) -> pd.Series:
-        return pd.Series([[vocabulary.merge(p.encode()) for p in a] for a in arrays], dtype=object)
+        return pd.Series([{p: vocabulary.merge(p.encode()) for p in a} for a in arrays], dtype=object)
 
-    some = F.array_distinct(F.filter(found, lambda p: F.octet_length(p) > LONG))
-    return F.map_from_arrays(some, merge(some))
+    return merge(F.filter(found, lambda p: F.octet_length(p) > LONG))
 
 
 def frequent_pieces(found: DataFrame, column: str, limit: int = HEAD) -> DataFrame:
-    """piece: the distinct pieces of all rows that occur most often, about ``limit`` and never more than a hundredth
+    """piece, often: the distinct pieces of all rows that occur most often, about ``limit`` and never more than a hundredth
     above it; no long ones."""
     counts = stored(
         found.select(F.explode(column).alias("piece")).filter(F.octet_length("piece") <= LONG)
-        .groupBy("piece").agg(F.count("*").alias("n")), "pieces")
+        .groupBy("piece").agg(F.count("*").alias("often")), "pieces")
     different = counts.count()
     if different <= limit:
-        return counts.select("piece")
-    cut = counts.agg(F.percentile_approx("n", 1 - limit / different, 100_000)).first()[0]
-    return counts.filter(F.col("n") > cut).select("piece")
+        return counts
+    cut = counts.agg(F.percentile_approx("often", 1 - limit / different, 100_000)).first()[0]
+    return counts.filter(F.col("often") > cut)
 
 
 def head_table(encoded: DataFrame, value: str, slots: int = HEAD_SLOTS) -> Column:
-    """(piece, ``value``) rows, bounded in number, as a table for ``look_up``.
+    """(piece, often, ``value``) rows, bounded in number, as a table for ``look_up``.
 
-    Cuckoo hashing: a piece lies in one of the two slots that its hash names, so a look-up reads two slots at most. A piece
-    that finds no slot is left out; it is then merged where it stands.
+    Cuckoo hashing: a piece lies in one of the two slots that its hash names, so a look-up reads two slots at most. The most
+    frequent pieces come first, lie in their first slot where it is free, and stay. A piece that finds no slot is left out;
+    it is then merged where it stands. One task places all rows, so that the driver holds no copy but that of the plan.
     """
-    rows = encoded.select("piece", F.col(value).alias("v"), F.xxhash64("piece").alias("h")).toArrow()
-    first = rows["h"].to_numpy() & (slots - 1)
-    second = (rows["h"].to_numpy() >> 32) & (slots - 1)
-    taken = np.full(slots, -1, np.int64)
-    one, two, held = memoryview(first), memoryview(second), memoryview(taken)
-    for i in range(len(first)):
-        slot = one[i]
-        for _ in range(64):
-            other, held[slot] = held[slot], i
-            if other < 0:
-                break
-            i, slot = other, two[other] if slot == one[other] else one[other]
-    at = pa.array(taken, mask=taken < 0)
-
-    def literal(column: str) -> Column:
-        values = rows[column].combine_chunks().take(at)
-        row = pa.ListArray.from_arrays(pa.array([0, slots], pa.int32()), values)
-        return encoded.sparkSession.createDataFrame(pa.table({column: row})).scalar()
-
-    return F.struct(literal("piece").alias("pieces"), literal("v").alias("values"))
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = list(batches)
+        if not met:
+            return
+        rows = pa.Table.from_batches(met)
+        order = np.argsort(-rows["often"].to_numpy(), kind="stable")
+        hashes = rows["h"].to_numpy()[order]
+        first, second = hashes & (slots - 1), (hashes >> 32) & (slots - 1)
+        taken = np.full(slots, -1, np.int64)
+        one, two, held = memoryview(first), memoryview(second), memoryview(taken)
+        for i in range(len(order)):
+            a, b = one[i], two[i]
+            slot = a if held[a] < 0 or held[b] >= 0 and held[a] > held[b] else b  # the less frequent one moves
+            for _ in range(64):
+                other = held[slot]
+                if 0 <= other < slots // FIXED:
+                    break
+                held[slot] = i
+                if other < 0:
+                    break
+                i, slot = other, two[other] if slot == one[other] else one[other]
+        at = pa.array(order[taken], mask=taken < 0) if len(order) else pa.nulls(slots, pa.int64())
+        ends = pa.array([0, slots], pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, rows[c].combine_chunks().take(at)) for c in ("piece", "v")],
+                                         ["pieces", "values"])
+
+    rows = encoded.select("piece", F.col(value).alias("v"), F.xxhash64("piece").alias("h"), F.col("often").cast("long").alias("often"))
+    schema = StructType([StructField("pieces", ArrayType(StringType())), StructField("values", ArrayType(rows.schema["v"].dataType))])
+    table = stored(rows.repartition(1).mapInArrow(place, schema), "head")
+    return table.select(F.struct("pieces", "values")).scalar()
 
 
 def look_up(table: Column, piece: Column, slots: int = HEAD_SLOTS) -> Column:
     """The value of a piece in a head table, or null."""
-    first = F.xxhash64(piece).bitwiseAND(F.lit(slots - 1)).cast("int")
-    second = F.shiftright(F.xxhash64(piece), 32).bitwiseAND(F.lit(slots - 1)).cast("int")
-    keys, values = table["pieces"], table["values"]
-    return F.when(F.get(keys, first) == piece, F.get(values, first)).when(
-        F.get(keys, second) == piece, F.get(values, second))
+    def at(slot: Column) -> Column:
+        return let(slot.bitwiseAND(F.lit(slots - 1)).cast("int"), lambda s: F.when(
+            F.get(table["pieces"], s) == piece, F.get(table["values"], s)))
+
+    return F.coalesce(at(F.xxhash64(piece)), at(F.shiftright(F.xxhash64(piece), 32)))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text", ids: str = "ids",
@@ -271,7 +307,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
 
     cut = docs.select(pieces(whole(text), pattern).alias(found))
     common = frequent_pieces(cut, found, head).withColumn(tables, merges)
-    coded = common.select("piece", let(F.col(tables), lambda t: fold(F.col("piece"), t)).alias("ids"))
+    coded = common.select("piece", "often", let(F.col(tables), lambda t: fold(F.col("piece"), t)).alias("ids"))
     looked_up = F.struct(merges.alias("merges"), head_table(coded, "ids").alias("head"))
 
     rows = docs.withColumn(found, pieces(whole(text), pattern)).withColumn(far, long_pieces(F.col(found), vocabulary))
@@ -292,23 +328,35 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str
     kept = [c for c in rows.columns if keep_ids or c != ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.array([*tokens, b""], pa.binary())
         for batch in batches:
-            joined, written = [], []
-            for scalar in batch.column(batch.schema.get_field_index(ids)):
-                own = scalar.values.to_numpy() if scalar.is_valid else None
-                known = own is not None and (not len(own) or own.min() >= 0 and own.max() < len(tokens))
-                joined.append(b"".join(map(tokens.__getitem__, own.tolist())) if known else None)
-                if packed:
-                    written.append(None if own is None else own.astype("<u4").tobytes())
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept] + [pa.array(joined, pa.binary())]
+            lists = batch.column(batch.schema.get_field_index(ids))
+            absent = lists.is_null().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().fill_null(0).to_numpy()
+            ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            own = lists.flatten().to_numpy()  # of null lists nothing
+            unknown = (own < 0) | (own >= len(tokens))
+            lost = np.flatnonzero(np.diff(np.concatenate(([0], np.cumsum(unknown)))[ends]))
+            joined = table.take(pa.array(np.where(unknown, len(tokens), own)))
+            absent_too = absent.copy()
+            absent_too[lost] = True
+            at = np.frombuffer(joined.buffers()[1], np.int32)[:len(own) + 1]
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            columns.append(_binary(at[ends], joined.buffers()[2], absent_too))
             if packed:
-                columns.append(pa.array(written, pa.binary()))
+                columns.append(_binary(4 * ends, pa.py_buffer(own.astype("<u4")), absent))
             yield pa.RecordBatch.from_arrays(columns, [*kept, name, *([packed] if packed else [])])
 
     schema = StructType([rows.schema[c] for c in kept] + [StructField(n, BinaryType()) for n in (name, packed) if n])
     return rows.mapInArrow(run, schema)
 
 
+def _binary(ends: np.ndarray, data: pa.Buffer | None, absent: np.ndarray) -> pa.Array:
+    """Binary values that lie one behind the other in ``data``; null where ``absent``."""
+    values = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(absent), [None, pa.py_buffer(ends.astype(np.int64)), data])
+    return pa.compute.if_else(pa.array(absent), None, values).cast(pa.binary()) if absent.any() else values.cast(pa.binary())
+
+
 def round_trip(docs: DataFrame) -> DataFrame:
     """The contract's rows."""
     import public_tokenizers

@@ -68,11 +68,13 @@ def count_tokens(docs: DataFrame, vocabulary: Vocabulary, pattern: str, special:
     spark = docs.sparkSession
     found, far, tables = fresh(docs, "_pieces", "_far", "_tables")
     merges = merge_tables(spark, vocabulary)
-    proved = spark.createDataFrame(pa.table({"piece": proved_whole(vocabulary)}))
+    strings = proved_whole(vocabulary)
+    # The vocabulary's order is that of frequency; its strings come before the corpus's other pieces.
+    proved = spark.createDataFrame(pa.table({"piece": strings, "often": [(1 << 62) - k for k in range(len(strings))]}))
 
     pieces = docs.select(cut(whole(text), pattern, special).alias(found))
     rest = frequent_pieces(pieces, found, head).join(proved, "piece", "left_anti").withColumn(tables, merges)
-    merged = rest.select("piece", let(F.col(tables), lambda t: F.size(fold(F.col("piece"), t))).alias("n"))
+    merged = rest.select("piece", "often", let(F.col(tables), lambda t: F.size(fold(F.col("piece"), t))).alias("n"))
     known = head_table(proved.withColumn("n", F.lit(1)).union(merged), "n")
     looked_up = F.struct(merges.alias("merges"), known.alias("known"))
 

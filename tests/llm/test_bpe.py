@@ -90,3 +90,43 @@ def test_pattern_cuts_like_the_library(spark):
     space = r"[\x09-\x0D\x20\x85\xA0  -     　]"
     pattern = public_tokenizers.PATTERN.replace(r"[^\s", "[^" + space[1:-1]).replace(r"\S", "[^" + space[1:]).replace(r"\s", space)
     assert [r[0] for r in got] == [regex.findall(pattern, t) for t in texts]
+
+
+def test_driver_holds_no_copy_of_the_head(documents, vocabulary, library, monkeypatch):
+    def collected(*_):
+        raise AssertionError("the pieces came to the driver")
+
+    docs = documents.orderBy("doc_id").limit(5)
+    want = {r.doc_id: library.encode_ordinary(r.text or "") for r in docs.collect()}
+    monkeypatch.setattr(type(documents), "toArrow", collected)
+    coded = byte_pairs.encode(docs, vocabulary, public_tokenizers.PATTERN)
+    assert {r.doc_id: r.ids for r in coded.collect()} == want
+
+
+def test_frequent_pieces_lie_in_their_first_slot(spark):
+    rows = spark.range(600).select(F.concat(F.lit("piece"), "id").alias("piece"), ((F.col("id") * 7919) % 600).alias("often"), F.col("id").alias("v"))
+    table = spark.range(1).select(byte_pairs.head_table(rows, "v", 1024).alias("t")).first().t
+    placed = dict(zip(table.pieces, table.values))
+    hashes = {r.piece: r.h for r in rows.select("piece", F.xxhash64("piece").alias("h")).collect()}
+    often = {r.piece: (r.often, r.v) for r in rows.collect()}
+    top = sorted(often, key=often.get, reverse=True)[:16]
+    assert sum(table.pieces[hashes[p] & 1023] == p for p in top) >= 15
+    assert len(placed) > 560 and all(placed[p] == often[p][1] for p in placed if p)
+
+
+def test_equal_ranks_merge_from_the_left(spark, vocabulary):
+    texts = ["a" * k for k in range(1, 60)] + [c * k for c in ("ab", "é", "the", "日本", "\x00", "0 ") for k in (2, 5, 17, 40)] + ["x" * 256]
+    tables = byte_pairs.merge_tables(spark, vocabulary)
+    rows = spark.createDataFrame([(t,) for t in texts], "p string").withColumn("t", tables)
+    for row in rows.select("p", byte_pairs.let(F.col("t"), lambda t: byte_pairs.fold(F.col("p"), t)).alias("ids")).collect():
+        assert row.ids == vocabulary.merge(row.p.encode())
+
+
+def test_decoding_keeps_rows_apart(spark, vocabulary):
+    lists = [[5, 300, 7], None, [], [10 ** 6], [-1, 3], [300] * 1000, [0]]
+    rows = spark.createDataFrame([(k, ids) for k, ids in enumerate(lists)], "k int, ids array<int>").coalesce(1)
+    for row in byte_pairs.decode(rows, vocabulary, packed="packed").collect():
+        ids = lists[row.k]
+        known = ids is not None and all(0 <= i < len(vocabulary.tokens) for i in ids)
+        assert row.decoded == (b"".join(vocabulary.tokens[i] for i in ids) if known else None)
+        assert row.packed == (None if ids is None else b"".join((i % 2 ** 32).to_bytes(4, "little") for i in ids))

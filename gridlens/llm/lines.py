@@ -6,11 +6,12 @@ similarity of at least ``SIMILARITY`` with it; the first one stays.
 1. Words are ordered by rarity: by their count in a table of ``COUNTERS`` counters over the whole corpus, then by hash. Any
    fixed order gives the same pairs, so that words share counters costs time, never a pair.
 2. Lines with the same set are one class, of which one line goes on.
-3. Prefix filter: similar lines share one of their rarest ``n - ceil(t n) + 1`` words. Each class is first compared with
-   the earliest class at its very rarest words; what is settled there is not joined as a later line again, so a family of
+3. Prefix filter: similar lines share ``SHARED`` of their rarest ``n - ceil(t n) + SHARED`` words. Each class is first compared
+   with the earliest class at its very rarest words; what is settled there is not joined as a later line again, so a family of
    thousands of near copies costs as many comparisons as it has lines.
 4. Classes that share a prefix word pass the length filter, the positional filter and a filter by 64-bit parities of
-   their sets (each bit that differs is a word that differs). None of them loses a pair.
+   their sets (each bit that differs is a word that differs), and must pass them at ``SHARED`` words. None of them loses a pair:
+   every common word of similar lines passes. A set too small to be similar to a different one is not joined.
 5. What is left is verified on the words themselves. Only lines that take part in a candidate pair are read for that,
    found by a bitmap of fixed size.
 
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridlens.llm.common import BLANK, fresh, stored, whole
+from gridlens.llm.common import BLANK, WORD, fresh, stored, whole
 
 #: Jaccard similarity as a fraction.
 SIMILARITY = (4, 5)
@@ -32,6 +33,8 @@ COUNTER_BITS, BITMAP_BITS = 20, 23
 COUNTERS = 1 << COUNTER_BITS
 #: Rarest words at which a class meets the earliest class first.
 LEADERS = 3
+#: Prefix words that similar lines share at least; no more than the words of the smallest set that is similar to another one.
+SHARED = 2
 _HASH_BITS = 43
 
 
@@ -51,11 +54,16 @@ def lines_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return rows.select("doc", F.xxhash64("t").alias("h"), F.posexplode(F.split("t", "\n", -1)).alias("line", "s"))
 
 
+def has_words(line: str, least: int) -> Column:
+    """Whether a line has ``least`` words, repeated ones counted; reads no further than that."""
+    return F.col(line).rlike(rf"\A{BLANK[:-1]}*+(?:{WORD}+{BLANK}+){{{max(least, 1) - 1}}}{WORD[:-1]}")
+
+
 def rarity(lines: DataFrame) -> Column:
     """One-row subquery: how often the words of each counter stand in all lines."""
     spark = lines.sparkSession
-    place = F.col("w").bitwiseAND(F.lit(COUNTERS - 1))
-    counted = lines.select(F.explode(hashes_of("s")).alias("w")).groupBy(
+    place = F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1))
+    counted = lines.select(F.explode(F.split("s", BLANK)).alias("w")).groupBy(
         place.alias("i")).agg(F.count("*").alias("n"))
     every = counted.union(spark.range(COUNTERS).select("id", F.lit(0).cast("long"))).groupBy("i").agg(F.sum("n").alias("n"))
     packed = F.shiftleft(F.col("i"), 32).bitwiseOR(F.least(F.col("n"), F.lit((1 << 19) - 1)))
@@ -65,12 +73,14 @@ def rarity(lines: DataFrame) -> Column:
 
 
 def ordered_words(hashes: Column, counts: Column) -> Column:
-    """Different words as longs, rarest first: 20 bits of their counter, then 43 of their hash."""
-    def key(w: Column) -> Column:
-        n = F.get(counts, w.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long")
+    """Different words as longs, rarest first: 20 bits of their counter, then 43 of their hash. ``counts``: the counters."""
+    def key(t: Column, w: Column) -> Column:
+        n = F.coalesce(F.get(t, w.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), F.lit(0).cast("long"))
         return F.shiftleft(n, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(w, 64 - _HASH_BITS))
 
-    return F.sort_array(F.transform(hashes, key))
+    # The table is bound once a line; the sort stands outside, where it is one of primitive longs.
+    keys = F.get(F.transform(F.array(counts), lambda t: F.transform(hashes, lambda w: key(t, w))), F.lit(0))
+    return F.sort_array(keys)
 
 
 def least_common(n: Column) -> Column:
@@ -101,14 +111,14 @@ def _unpacked(packed: Column) -> tuple[Column, Column]:
 
 def line_sets(lines: DataFrame, least_words: int = 1) -> DataFrame:
     """doc, h, line, n, prefix (hashes of the rarest words), parity, a and b (digests of the set) of each line; stored."""
-    every = F.array_remove(hashes_of("s"), F.xxhash64(F.lit("")))
-    worded = lines.select("doc", "h", "line", every.alias("words")).filter(F.size("words") >= least_words).select(
-        "doc", "h", "line", F.array_distinct("words").alias("words"))
-    keyed = worded.withColumn("counts", rarity(lines)).select("doc", "h", "line", F.get(F.transform(
-        F.array(F.col("counts")), lambda t: ordered_words(F.col("words"), t)), F.lit(0)).alias("set"))
+    # Lines are told apart by a test that ends early: a filter on the words would hash them twice.
+    words = F.array_distinct(F.array_remove(hashes_of("s"), F.xxhash64(F.lit(""))))
+    worded = lines.filter(has_words("s", least_words)).select("doc", "h", "line", words.alias("words"))
+    keyed = worded.withColumn("counts", rarity(lines)).select(
+        "doc", "h", "line", ordered_words(F.col("words"), F.col("counts")).alias("set"))
     n = F.size("set")
     parity = F.aggregate("set", F.lit(0).cast("long"), lambda p, w: p.bitwiseXOR(one_bit(w)))
-    prefix = F.transform(F.slice("set", F.lit(1), n - least_common(n) + 1), lambda w: w.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    prefix = F.transform(F.slice("set", F.lit(1), n - least_common(n) + SHARED), lambda w: w.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     return stored(keyed.select("doc", "h", "line", n.alias("n"), prefix.alias("prefix"), parity.alias("parity"),
                                F.xxhash64("set").alias("a"), F.hash("set").alias("b")), "lines")
 
@@ -142,8 +152,8 @@ def _in_bitmap(table: Column, key: Column) -> Column:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFrame:
-    """c of the later classes of ``pairs`` (later, earlier: class numbers) that are similar, by their words."""
-    pairs = stored(pairs.distinct(), "line-pairs")
+    """c of the later classes of ``pairs`` (later, earlier: class numbers; different ones) that are similar, by their words."""
+    pairs = stored(pairs, "line-pairs")
     return stored(_similar(pairs, classes, lines), "line-removed")
 
 
@@ -165,12 +175,17 @@ def _similar(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFram
 
 def later_matches(classes: DataFrame, lines: DataFrame) -> DataFrame:
     """c of the classes that an earlier class matches."""
+    # Different sets are similar only if they have this many words.
+    a, b = SIMILARITY
+    classes = classes.filter(F.col("n") * (b - a) >= a)
+
     # The earliest class at each of the rarest words.
     at_word = classes.select("c", "n", "parity", F.posexplode(F.slice("prefix", 1, LEADERS)).alias("p", "w"))
     first = at_word.groupBy("w").agg(F.min(F.struct("c", "n", "p", "parity")).alias("f"), F.count("*").alias("k"))
     met = at_word.join(first.filter("k > 1"), "w").filter(F.col("c") != F.col("f.c"))
     fits = could_match(F.col("n"), F.col("p"), F.col("parity"), F.col("f.n"), F.col("f.p"), F.col("f.parity"))
-    settled = verified(met.filter(fits).select(F.col("c").alias("later"), F.col("f.c").alias("earlier")), classes, lines)
+    leading = met.filter(fits).select(F.col("c").alias("later"), F.col("f.c").alias("earlier"))
+    settled = verified(leading.distinct(), classes, lines)
 
     # All classes at all prefix words; both sides of the join are the same shuffle, so "open" is part of the condition.
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(
@@ -182,7 +197,8 @@ def later_matches(classes: DataFrame, lines: DataFrame) -> DataFrame:
     before = F.when(F.col("x.q").bitwiseAND(F.lit(1)) == 1, F.col("x.c")).otherwise(F.lit(-1))
     pairs = every.alias("x").join(every.alias("y"), (F.col("x.w") == F.col("y.w")) & (F.col("y.c") < before) & could_match(
         n1, p1, F.col("x.parity"), n2, p2, F.col("y.parity")))
-    others = verified(pairs.select(F.col("x.c").alias("later"), F.col("y.c").alias("earlier")), classes, lines)
+    often = pairs.groupBy(F.col("x.c").alias("later"), F.col("y.c").alias("earlier")).agg(F.count("*").alias("k"))
+    others = verified(often.filter(F.col("k") >= SHARED).drop("k"), classes, lines)
     return settled.union(others)
 
 

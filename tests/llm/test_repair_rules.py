@@ -44,3 +44,15 @@ def test_rare_pair_in_a_full_place_hides_no_frequent_one():
     ids = np.concatenate([np.array([1, 2, 40_000 + k]) for k in range(100)] + [np.array([a, b])])
     rules, symbols = repair.compress(ids, 50_000)
     assert rules.tolist() == [[1, 2]] and len(symbols) == len(ids) - 100
+
+
+def test_later_rounds_count_what_can_be_frequent(monkeypatch):
+    """A pair that is too rare once is not counted again; pairs of new symbols are, and those left over by the limit of a round."""
+    counted, count = [], repair._count
+    monkeypatch.setattr(repair, "_count", lambda left, right: counted.append(len(left)) or count(left, right))
+    monkeypatch.setattr(repair, "PLACE_BITS", 1)  # every place of the hash is full
+    random = np.random.default_rng(3)
+    ids = np.concatenate([random.permutation(20_000), np.tile([30_000, 30_001, 30_002, 30_003], 50)])
+    rules, symbols = repair.compress(ids, 40_000, round_pairs=2)
+    assert len(rules) and _most_frequent(symbols) < repair.LEAST
+    assert counted[0] > 20_000 and max(counted[1:]) < 500

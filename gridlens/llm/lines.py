@@ -134,7 +134,7 @@ def line_classes(sets: DataFrame) -> DataFrame:
     return stored(in_order.withColumn("c", F.monotonically_increasing_id()), "line-classes")
 
 
-def _bitmap(rows: DataFrame, key: Column) -> Column:
+def bitmap(rows: DataFrame, key: Column) -> Column:
     """One-row subquery: bits of the hashes of ``key``, in 64-bit pieces."""
     spark = rows.sparkSession
     place = key.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
@@ -145,7 +145,7 @@ def _bitmap(rows: DataFrame, key: Column) -> Column:
     return pieces.agg(F.transform(in_order, lambda s: s["m"])).scalar()
 
 
-def _in_bitmap(table: Column, key: Column) -> Column:
+def in_bitmap(table: Column, key: Column) -> Column:
     place = key.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
     piece = F.get(table, F.shiftright(place, 6).cast("int"))
     return F.getbit(piece, place.bitwiseAND(F.lit(63)).cast("int")) == 1
@@ -162,7 +162,7 @@ def _similar(pairs: DataFrame, classes: DataFrame, lines: DataFrame) -> DataFram
     taking_part = pairs.select("later").union(pairs.select("earlier")).distinct().withColumnRenamed("later", "c")
     places = stored(classes.join(taking_part, "c").select("c", "place.doc", "place.h", "place.line"), "line-places")
     at = F.xxhash64("h", "line")
-    read = lines.withColumn("bits", _bitmap(places, at)).filter(_in_bitmap(F.col("bits"), at)).drop("bits")
+    read = lines.withColumn("bits", bitmap(places, at)).filter(in_bitmap(F.col("bits"), at)).drop("bits")
     found = read.join(places.withColumnRenamed("doc", "own"), ["h", "line"]).filter(F.col("doc").eqNullSafe(F.col("own")))
     sets = stored(found.groupBy("c").agg(F.first("s").alias("s")).select("c", words_of("s").alias("words")), "line-words")
     a, b = SIMILARITY

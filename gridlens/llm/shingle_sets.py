@@ -6,7 +6,12 @@
 3. Pairs that a sketch has found (``simhash.leader_pairs``) are compared first. The sets that share such a shingle are then
    compared with three leaders, if they are not in one component yet; the components that result are joined with each other, and
    never with themselves, so thousands of near copies need about as many comparisons as there are copies.
-4. Candidate pairs are verified on the whole sets, which are read again from the documents that take part in a pair.
+4. Candidate pairs pass the length filter and a filter by parities of their sets, a bit or two for each shingle (a bit that
+   differs is a shingle that differs, so no link is lost). What is left is verified on the whole sets, which are read again from
+   the documents that take part in such a pair, found by a bitmap of fixed size.
+
+A shingle that stands in one prefix only makes no pair. Such shingles, nearly all, are left out before prefixes are shuffled: the
+others are found by counting 40 bits of each, and passed on as a bitmap of fixed size. What it lets through besides costs time.
 
 Shingles are told apart by the 64 bits of their hash, sets by 64 bits of a digest.
 
@@ -29,12 +34,16 @@ from pyspark.sql.types import BooleanType
 
 from gridlens.llm.common import stored, whole
 from gridlens.llm.components import components, joined_components
+from gridlens.llm.lines import bitmap as native_bitmap, in_bitmap
+from gridlens.llm.suffix_tree import BITS, bitmap
 
 #: Jaccard similarity as a fraction.
 SIMILARITY = (4, 5)
 SEED = 42
 #: Counters of the rarity order.
 COUNTERS = 1 << 18
+#: Bits of a shingle by which shared ones are counted are those above these.
+LOW_BITS = 24
 #: Turns the order of the digests round for the third leader.
 _TURN = 0x5DEECE66D1234567
 
@@ -62,6 +71,21 @@ def _node(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes()) | 1).view(np.int64)) if len(shingles) else 0
 
 
+def _parity(shingles: np.ndarray) -> bytes:
+    """Parities of the shingles dealt out by their low bits, to as many bits as the next power of two from 64."""
+    bits = 1 << max(6, (len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differ_at_least(left: bytes, right: bytes) -> int:
+    """Shingles that only one of two sets has: at least as many as bits of their parities that differ."""
+    x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    width = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, width)) for z in (x, y))  # parities of fewer, wider slots
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def rarity(docs: DataFrame, text: str, words: int) -> np.ndarray:
     """How many sets have the shingles of each counter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,12 +103,12 @@ def rarity(docs: DataFrame, text: str, words: int) -> np.ndarray:
 
 
 def digest(docs: DataFrame, text: str, words: int, sketch: Callable[[np.ndarray], int]) -> Column:
-    """node, n (shingles of the set), prefix (its rarest shingles, rarest first), sim (``sketch`` of all shingles, repeats
-    included), h (hash of the text) of a text column."""
+    """node, n (shingles of the set), prefix (its rarest shingles, rarest first), parity, sim (``sketch`` of all shingles,
+    repeats included), h (hash of the text) of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, text, words))
     a, b = SIMILARITY
 
-    @F.pandas_udf("node long, n int, prefix array<long>, sim long")
+    @F.pandas_udf("node long, n int, prefix array<long>, parity binary, sim long")
     def of(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for value in texts:
@@ -92,20 +116,60 @@ def digest(docs: DataFrame, text: str, words: int, sketch: Callable[[np.ndarray]
             s = np.unique(hashes)
             order = np.lexsort((s, shared.value[(s % np.uint64(COUNTERS)).astype(np.int64)]))
             kept = len(s) + (-a * len(s) // b) + 1 if len(s) else 0  # n - ceil(t n) + 1
-            rows.append((_node(s), len(s), s[order[:kept]].view(np.int64), sketch(hashes)))
-        return pd.DataFrame(rows, columns=["node", "n", "prefix", "sim"])
+            rows.append((_node(s), len(s), s[order[:kept]].view(np.int64), _parity(s), sketch(hashes)))
+        return pd.DataFrame(rows, columns=["node", "n", "prefix", "parity", "sim"])
 
     found = of(F.col(text))
     return F.struct(found["node"].alias("node"), found["n"].alias("n"), found["prefix"].alias("prefix"),
-                    found["sim"].alias("sim"), F.xxhash64(whole(text)).alias("h"))
+                    found["parity"].alias("parity"), found["sim"].alias("sim"), F.xxhash64(whole(text)).alias("h"))
+
+
+def shared_prefixes(marked: DataFrame) -> DataFrame:
+    """f, n, p, k: each node's prefix shingles k at place p, of those that stand in one prefix only hardly any; stored."""
+    k = F.shiftright("k", LOW_BITS).alias("k")
+    often = marked.select(F.explode("prefix").alias("k")).groupBy(k).agg(F.count("*").alias("n")).filter("n > 1")
+    shared = marked.sparkSession.sparkContext.broadcast(bitmap(F.col("k"), often))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column(2)
+            keys = prefix.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(prefix.offsets.to_numpy())
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            place = (keys >> LOW_BITS) & (BITS - 1)
+            at = np.flatnonzero(shared.value[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+            p = at - (np.cumsum(sizes) - sizes)[row[at]]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(row[at])), batch.column(1).take(pa.array(row[at])),
+                pa.array(p.astype(np.int32)), pa.array(keys[at])], ["f", "n", "p", "k"])
+
+    rows = marked.select("fingerprint", "n", "prefix").mapInArrow(run, "f long, n int, p int, k long")
+    return stored(rows.dropDuplicates(["f", "k"]), "prefixes")
+
+
+def may_be_similar(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` that pass the length and the parity filter."""
+    a, b = SIMILARITY
+
+    @F.pandas_udf(BooleanType())
+    def near(n1: pd.Series, n2: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
+        # Sets that differ in d of n1 + n2 shingles have a similarity of (n1 + n2 - d) / (n1 + n2 + d).
+        out = [(n - d) * b >= (n + d) * a for n, d in zip(n1 + n2, map(_differ_at_least, left, right))]
+        return pd.Series(out, dtype=bool)
+
+    both = pairs
+    for i in "12":
+        both = both.join(nodes.select(F.col("f").alias(f"f{i}"), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"s{i}")), f"f{i}")
+    fits = (F.col("n1") * a <= F.col("n2") * b) & (F.col("n2") * a <= F.col("n1") * b)
+    return both.filter(fits).filter(near("n1", "n2", "s1", "s2")).select(*pairs.columns)
 
 
-def similar(pairs: DataFrame, marked: DataFrame, docs: DataFrame, text: str, words: int) -> DataFrame:
-    """The rows of ``pairs`` (f1 and f2 are nodes) whose sets are similar."""
+def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, words: int) -> DataFrame:
+    """The rows of ``pairs`` (f1 and f2 are nodes) whose sets are similar. ``nodes``: f, n, parity, h (of one text)."""
     a, b = SIMILARITY
-    pairs = stored(pairs, "set-pairs")
-    ends = pairs.select(F.explode(F.array("f1", "f2")).alias("fingerprint")).distinct()
-    texts = marked.join(ends, "fingerprint", "left_semi").groupBy("fingerprint").agg(F.min("h").alias("h")).select("h").distinct()
+    pairs = stored(may_be_similar(pairs, nodes), "set-pairs")
+    ends = pairs.select(F.explode(F.array("f1", "f2")).alias("f")).distinct()
+    texts = stored(nodes.join(ends, "f", "left_semi").select("h").distinct(), "set-texts")
 
     @F.pandas_udf("node long, shingles binary")
     def whole_set(values: pd.Series) -> pd.DataFrame:
@@ -120,21 +184,23 @@ def similar(pairs: DataFrame, marked: DataFrame, docs: DataFrame, text: str, wor
             out.append(common * b >= ((len(x) + len(y)) // 8 - common) * a)
         return pd.Series(out, dtype=bool)
 
-    h = F.xxhash64(whole(text))
-    read = docs.select(h.alias("h"), F.col(text).alias("t")).join(texts, "h", "left_semi").dropDuplicates(["h"])
-    sets = stored(read.select(whole_set("t").alias("s")).select("s.node", "s.shingles").dropDuplicates(["node"]), "sets")
+    every = docs.select(F.xxhash64(whole(text)).alias("h"), F.col(text).alias("t"))
+    wanted = every.withColumn("bits", native_bitmap(texts, F.col("h"))).filter(in_bitmap(F.col("bits"), F.col("h"))).drop("bits")
+    read = wanted.join(texts, "h", "left_semi").dropDuplicates(["h"])
+    sets = stored(read.select(whole_set("t").alias("s")).select("s.node", "s.shingles"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("f1"), F.col("shingles").alias("s1")), "f1").join(
         sets.select(F.col("node").alias("f2"), F.col("shingles").alias("s2")), "f2")
     return both.filter(alike("s1", "s2")).select(*pairs.columns)
 
 
 def near_components(marked: DataFrame, docs: DataFrame, text: str, words: int, found: DataFrame) -> DataFrame:
-    """node, component for the sets that have another similar one. ``marked``: fingerprint (the node), n, prefix, h.
+    """node, component for the sets that have another similar one. ``marked``: fingerprint (the node), n, prefix, parity, h.
     ``found``: pairs of nodes (f1, f2) that are compared before all others."""
     a, b = SIMILARITY
-    sketched = stored(components(similar(found, marked, docs, text, words), "f1", "f2"), "sketched-components")
-    nodes = marked.select(F.col("fingerprint").alias("f"), "n", "prefix").dropDuplicates(["f"])
-    keyed = stored(nodes.select("f", "n", F.posexplode("prefix").alias("p", "k")), "prefixes")
+    nodes = stored(marked.groupBy(F.col("fingerprint").alias("f")).agg(
+        F.first("n").alias("n"), F.first("parity").alias("parity"), F.min("h").alias("h")), "nodes")
+    sketched = stored(components(similar(found, nodes, docs, text, words), "f1", "f2"), "sketched-components")
+    keyed = shared_prefixes(marked)
     turned = F.col("f").bitwiseXOR(F.lit(_TURN))
     leaders = (
         keyed.groupBy("k").agg(F.min("f").alias("l1"), F.max("f").alias("l2"), F.min(turned).bitwiseXOR(F.lit(_TURN)).alias("l3"))
@@ -148,7 +214,7 @@ def near_components(marked: DataFrame, docs: DataFrame, text: str, words: int, f
     for f, c in (("f1", "c1"), ("f2", "c2")):
         own = sketched.select(F.col("node").alias(f), F.col("component").alias(c))
         open_stars = open_stars.join(own, f, "left").withColumn(c, F.coalesce(c, f))
-    open_stars = similar(open_stars.filter("c1 <> c2"), marked, docs, text, words)
+    open_stars = similar(open_stars.filter("c1 <> c2"), nodes, docs, text, words)
     first = stored(joined_components(sketched, open_stars), "components")
 
     # What lies in different components so far: all members against those outside their group's largest component.
@@ -174,4 +240,4 @@ def near_components(marked: DataFrame, docs: DataFrame, text: str, words: int, f
                        F.when(F.col("f1") < F.col("f2"), F.col("c1")).otherwise(F.col("c2")).alias("c1"),
                        F.when(F.col("f1") < F.col("f2"), F.col("c2")).otherwise(F.col("c1")).alias("c2"))
     pairs = pairs.distinct().join(stars, ["f1", "f2"], "left_anti")
-    return joined_components(first, similar(pairs, marked, docs, text, words))
+    return joined_components(first, similar(pairs, nodes, docs, text, words))

@@ -134,19 +134,19 @@ def line_classes(sets: DataFrame) -> DataFrame:
     return stored(in_order.withColumn("c", F.monotonically_increasing_id()), "line-classes")
 
 
-def bitmap(rows: DataFrame, key: Column) -> Column:
+def bitmap(rows: DataFrame, key: Column, bits: int = BITMAP_BITS) -> Column:
     """One-row subquery: bits of the hashes of ``key``, in 64-bit pieces."""
     spark = rows.sparkSession
-    place = key.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    bits = rows.select(F.shiftright(place, 6).alias("i"), one_bit(place).alias("m"))
-    every = bits.union(spark.range(1 << BITMAP_BITS - 6).select("id", F.lit(0).cast("long")))
+    place = key.bitwiseAND(F.lit((1 << bits) - 1))
+    found = rows.select(F.shiftright(place, 6).alias("i"), one_bit(place).alias("m"))
+    every = found.union(spark.range(1 << bits - 6).select("id", F.lit(0).cast("long")))
     pieces = stored(every.groupBy("i").agg(F.bit_or("m").alias("m")), "bitmap")
     in_order = F.array_sort(F.collect_list(F.struct("i", "m")))
     return pieces.agg(F.transform(in_order, lambda s: s["m"])).scalar()
 
 
-def in_bitmap(table: Column, key: Column) -> Column:
-    place = key.bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+def in_bitmap(table: Column, key: Column, bits: int = BITMAP_BITS) -> Column:
+    place = key.bitwiseAND(F.lit((1 << bits) - 1))
     piece = F.get(table, F.shiftright(place, 6).cast("int"))
     return F.getbit(piece, place.bitwiseAND(F.lit(63)).cast("int")) == 1
 

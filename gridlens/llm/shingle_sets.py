@@ -11,7 +11,7 @@
    the documents that take part in such a pair, found by a bitmap of fixed size.
 
 A shingle that stands in one prefix only makes no pair. Such shingles, nearly all, are left out before prefixes are shuffled: the
-others are found by counting 40 bits of each, and passed on as a bitmap of fixed size. What it lets through besides costs time.
+others are found by counting 40 bits of each, and passed on as a bitmap of bounded size. What it lets through besides costs time.
 
 Shingles are told apart by the 64 bits of their hash, sets by 64 bits of a digest.
 
@@ -34,8 +34,7 @@ from pyspark.sql.types import BooleanType
 
 from gridlens.llm.common import stored, whole
 from gridlens.llm.components import components, joined_components
-from gridlens.llm.lines import bitmap as native_bitmap, in_bitmap
-from gridlens.llm.suffix_tree import BITS, bitmap
+from gridlens.llm.lines import bitmap, in_bitmap
 
 #: Jaccard similarity as a fraction.
 SIMILARITY = (4, 5)
@@ -44,6 +43,8 @@ SEED = 42
 COUNTERS = 1 << 18
 #: Bits of a shingle by which shared ones are counted are those above these.
 LOW_BITS = 24
+#: Bits of the bitmap of shared shingles, as powers of two: 16 for each, within these bounds.
+LEAST_BITS, MOST_BITS = 20, 26
 #: Turns the order of the digests round for the third leader.
 _TURN = 0x5DEECE66D1234567
 
@@ -126,25 +127,13 @@ def digest(docs: DataFrame, text: str, words: int, sketch: Callable[[np.ndarray]
 
 def shared_prefixes(marked: DataFrame) -> DataFrame:
     """f, n, p, k: each node's prefix shingles k at place p, of those that stand in one prefix only hardly any; stored."""
-    k = F.shiftright("k", LOW_BITS).alias("k")
-    often = marked.select(F.explode("prefix").alias("k")).groupBy(k).agg(F.count("*").alias("n")).filter("n > 1")
-    shared = marked.sparkSession.sparkContext.broadcast(bitmap(F.col("k"), often))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prefix = batch.column(2)
-            keys = prefix.flatten().to_numpy(zero_copy_only=False)
-            sizes = np.diff(prefix.offsets.to_numpy())
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            place = (keys >> LOW_BITS) & (BITS - 1)
-            at = np.flatnonzero(shared.value[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-            p = at - (np.cumsum(sizes) - sizes)[row[at]]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(row[at])), batch.column(1).take(pa.array(row[at])),
-                pa.array(p.astype(np.int32)), pa.array(keys[at])], ["f", "n", "p", "k"])
-
-    rows = marked.select("fingerprint", "n", "prefix").mapInArrow(run, "f long, n int, p int, k long")
-    return stored(rows.dropDuplicates(["f", "k"]), "prefixes")
+    key = F.shiftright("k", LOW_BITS)
+    often = marked.select(F.explode("prefix").alias("k")).groupBy(key.alias("k")).agg(F.count("*").alias("n"))
+    often = stored(often.filter("n > 1").select("k"), "shared-shingles")
+    bits = min(max((16 * often.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    rows = marked.select(F.col("fingerprint").alias("f"), "n", F.posexplode("prefix").alias("p", "k"))
+    shared = rows.withColumn("bits", bitmap(often, F.col("k"), bits)).filter(in_bitmap(F.col("bits"), key, bits)).drop("bits")
+    return stored(shared.dropDuplicates(["f", "k"]), "prefixes")
 
 
 def may_be_similar(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -185,7 +174,7 @@ def similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, word
         return pd.Series(out, dtype=bool)
 
     every = docs.select(F.xxhash64(whole(text)).alias("h"), F.col(text).alias("t"))
-    wanted = every.withColumn("bits", native_bitmap(texts, F.col("h"))).filter(in_bitmap(F.col("bits"), F.col("h"))).drop("bits")
+    wanted = every.withColumn("bits", bitmap(texts, F.col("h"))).filter(in_bitmap(F.col("bits"), F.col("h"))).drop("bits")
     read = wanted.join(texts, "h", "left_semi").dropDuplicates(["h"])
     sets = stored(read.select(whole_set("t").alias("s")).select("s.node", "s.shingles"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("f1"), F.col("shingles").alias("s1")), "f1").join(
@@ -210,7 +199,7 @@ def near_components(marked: DataFrame, docs: DataFrame, text: str, words: int, f
     to = F.explode(F.array_distinct(F.array("l1", "l2", "l3")))
     stars = shared.select("f", to.alias("l")).filter("f <> l").select(
         F.least("f", "l").alias("f1"), F.greatest("f", "l").alias("f2")).distinct()
-    open_stars = stars
+    open_stars = stored(may_be_similar(stars, nodes), "possible-stars")
     for f, c in (("f1", "c1"), ("f2", "c2")):
         own = sketched.select(F.col("node").alias(f), F.col("component").alias(c))
         open_stars = open_stars.join(own, f, "left").withColumn(c, F.coalesce(c, f))
